@@ -24,7 +24,7 @@ REPORT_DAY = date(1997, 2, 1)
 CUSTOMER_SPLIT = "1995-06-01"
 PRODUCT_SPLIT = "1995-02-15"
 _DROP_HOUR = datetime(2022, 1, 16, 5)
-_EVENT_FILES = 4
+_EVENT_FILES = 16
 
 
 def _clean(spark, folder):
@@ -246,20 +246,16 @@ def daily_sales_csv(spark, folder):
 
 
 def customer_purchase_behavior(spark, folder):
-    sales = _clean(spark, folder)
-    return batch_report.customer_purchase_behavior(
-        star.fact_projection(sales), star.customer_dim(sales)
-    )
+    fact = tpch.sales_fact(spark, folder, "customer_id", "transaction_id", "total_paid_price")
+    return batch_report.customer_purchase_behavior(fact, tpch.stored_customers(spark, folder))
 
 
-def sales_by_category(spark, folder):
-    sales = _clean(spark, folder)
-    return batch_report.sales_by_category(star.fact_projection(sales), star.product_dim(sales))
+def _sales_with_products(query):
+    def run(spark, folder):
+        fact = tpch.sales_fact(spark, folder, "product_id", "units", "total_paid_price")
+        return query(fact, tpch.stored_products(spark, folder))
 
-
-def products_by_revenue(spark, folder):
-    sales = _clean(spark, folder)
-    return batch_report.products_by_revenue(star.fact_projection(sales), star.product_dim(sales))
+    return run
 
 
 def units_by_product_name(spark, folder):
@@ -298,7 +294,7 @@ def _landed_events(spark, folder):
         .write.text(f"{base}/incoming")
     )
     source = events.event_source(
-        spark, "text", {"maxFilesPerTrigger": 2}, path=f"{base}/incoming"
+        spark, "text", {"maxFilesPerTrigger": _EVENT_FILES // 2}, path=f"{base}/incoming"
     )
     landing.land_events(
         source, f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", availableNow=True
@@ -387,8 +383,8 @@ _QUERIES = {
     "daily_sales_dump": daily_sales_dump,
     "daily_sales_csv": daily_sales_csv,
     "customer_purchase_behavior": customer_purchase_behavior,
-    "sales_by_category": sales_by_category,
-    "products_by_revenue": products_by_revenue,
+    "sales_by_category": _sales_with_products(batch_report.sales_by_category),
+    "products_by_revenue": _sales_with_products(batch_report.products_by_revenue),
     "units_by_product_name": units_by_product_name,
     "incremental_landing": incremental_landing,
     "parse_event_json": parse_event_json,
@@ -405,11 +401,23 @@ _QUERIES = {
 }
 
 
-def _in_utc(query):
-    """Event times carry no zone; both sides of a comparison read them as UTC."""
+_SETTINGS = {
+    # Event times carry no zone; both sides of a comparison read them as UTC.
+    "spark.sql.session.timeZone": "UTC",
+    # Spread a small table over all cores too, as it may be written to thousands of
+    # date folders. Without effect on large ones, whose partitions are far bigger.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
+}
+
+
+def _configure(spark: SparkSession) -> None:
+    for key, value in _SETTINGS.items():
+        spark.conf.set(key, value)
+
 
+def _configured(query):
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        _configure(spark)
         return query(spark, folder)
 
     return run
@@ -417,14 +425,14 @@ def _in_utc(query):
 
 def entry(spark: SparkSession) -> DataFrame:
     """Best-selling products of a cleaned batch, from raw text to the ranked list."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    _configure(spark)
     sales = _clean(spark, "/root/testdata/sf0.001")
     return marketing.most_selling_products(star.fact_projection(sales), star.product_dim(sales))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator or business query; each takes (spark, folder of the tables)."""
-    return {name: _in_utc(query) for name, query in _QUERIES.items()}
+    return {name: _configured(query) for name, query in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -59,9 +59,7 @@ clean AS (
 
 _FACT = f"""{_CLEAN},
 fact AS (
-  SELECT *, units * unit_price * (1 - discount_percentage / 100) AS total_paid_price,
-    cast(round(unit_price * 100) AS bigint) * units
-      * cast(100 - discount_percentage AS bigint) AS paid_units
+  SELECT *, units * unit_price * (1 - discount_percentage / 100) AS total_paid_price
   FROM (
     SELECT transaction_id, customer_id, sales_agent_id, branch_id, product_id,
       cast(units AS integer) AS units, cast(unit_price AS double) AS unit_price,
@@ -122,7 +120,8 @@ SELECT * FROM late WHERE {key} NOT IN (SELECT {key} FROM early)"""
 
 _STAR = f"""
 star AS (
-  SELECT cast(l_orderkey AS varchar) AS transaction_id,
+  SELECT *, cents * units * cast(100 - discount_percentage AS bigint) AS paid_units
+  FROM (SELECT cast(l_orderkey AS varchar) AS transaction_id,
     cast(o_custkey AS varchar) AS customer_id,
     cast(l_suppkey AS varchar) AS sales_agent_id,
     cast(l_partkey AS varchar) AS product_id,
@@ -131,13 +130,13 @@ star AS (
       WHEN d >= 3 THEN 20 WHEN d >= 1 THEN 25 ELSE 0 END AS double) AS discount_percentage,
     CASE l_returnflag WHEN 'N' THEN true WHEN 'A' THEN false END AS is_online,
     cast(round(p_retailprice * 100) AS bigint) AS cents,
-    cast(o_orderdate AS date) AS day, p_name, s_name, n_name
+    cast(o_orderdate AS date) AS day, p_name, p_type, s_name, n_name, c_mktsegment, c_name
   FROM (SELECT *, round(l_discount * 100) AS d FROM lineitem)
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey
   JOIN part ON l_partkey = p_partkey
-  JOIN supplier ON l_suppkey = s_suppkey
+  JOIN supplier ON l_suppkey = s_suppkey)
 )"""
 
 _EVENTS = """
@@ -242,8 +241,7 @@ SELECT product_id, p_name AS product_name, cast(sum(units) AS bigint) AS total_u
 FROM star GROUP BY product_id, p_name""",
         "lowest_online_cities": f"""WITH {_STAR}
 SELECT n_name AS city,
-  cast(sum(cents * units * cast(100 - discount_percentage AS bigint)) AS bigint) / 10000.0
-    AS total_online_sales
+  {_PAID} / 10000.0 AS total_online_sales
 FROM star WHERE is_online GROUP BY n_name""",
         "most_redeemed_offers": f"""WITH {_STAR}
 SELECT discount_percentage, count(*) AS number_of_sales FROM star GROUP BY 1""",
@@ -252,16 +250,16 @@ SELECT product_id, p_name AS product_name, discount_percentage, count(*) AS purc
 FROM star WHERE discount_percentage <> 0 GROUP BY 1, 2, 3""",
         "daily_sales_dump": daily,
         "daily_sales_csv": daily,
-        "customer_purchase_behavior": f"""WITH {_FACT}, customers AS ({_customers()})
-SELECT first_name || ' ' || last_name AS "Customer_Name",
+        "customer_purchase_behavior": f"""WITH {_STAR}
+SELECT c_mktsegment || ' ' || c_name AS "Customer_Name",
   count(DISTINCT transaction_id) AS total_transactions, {_CENTS} AS total_spent
-FROM fact JOIN customers USING (customer_id) GROUP BY first_name, last_name""",
-        "sales_by_category": f"""WITH {_FACT}, products AS ({_products()})
-SELECT product_category, cast(sum(units) AS bigint) AS total_units_sold, {_CENTS} AS total_revenue
-FROM fact JOIN products USING (product_id) GROUP BY product_category""",
-        "products_by_revenue": f"""WITH {_FACT}, products AS ({_products()})
-SELECT product_name, cast(sum(units) AS bigint) AS total_units_sold, {_CENTS} AS total_revenue
-FROM fact JOIN products USING (product_id) GROUP BY product_name""",
+FROM star GROUP BY c_mktsegment, c_name""",
+        "sales_by_category": f"""WITH {_STAR}
+SELECT p_type AS product_category, cast(sum(units) AS bigint) AS total_units_sold,
+  {_CENTS} AS total_revenue FROM star GROUP BY p_type""",
+        "products_by_revenue": f"""WITH {_STAR}
+SELECT p_name AS product_name, cast(sum(units) AS bigint) AS total_units_sold,
+  {_CENTS} AS total_revenue FROM star GROUP BY p_name""",
         "units_by_product_name": f"""WITH {_CLEAN}
 SELECT product_name, cast(sum(cast(units AS integer)) AS bigint) AS total_units_sold
 FROM clean GROUP BY product_name""",

@@ -23,7 +23,7 @@ def exact_sum(amount: Column) -> Column:
     decimal objects per row, and a third of 10^12 rows in one group still fits.
     """
     whole = F.floor(amount)
-    micros = F.round((amount - whole) * _MICROS).cast("bigint")
+    micros = F.floor((amount - whole) * _MICROS + 0.5)
     return (
         F.sum(whole).cast("decimal(20,0)") + F.sum(micros).cast("decimal(20,0)") * F.lit(_ONE_MICRO)
     ).cast("decimal(28,6)")

@@ -26,8 +26,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def _offers() -> dict[str, Column]:
     """Overlapping offer conditions, so that their precedence matters."""
-    tenths = F.round(F.col("l_discount") * 100).cast("int")
-    return {f"offer_{number}": tenths >= 11 - 2 * number for number in range(1, 6)}
+    # From 9, 7, 5, 3 and 1 percent on, with a border between two percents.
+    return {
+        f"offer_{number}": F.col("l_discount") > (10.5 - 2 * number) / 100 for number in range(1, 6)
+    }
 
 
 def _online_word() -> Column:
@@ -55,7 +57,11 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
     )
     lines = (
         table(spark, folder, "lineitem")
-        .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        # Orders grow with the lines; a merge join does not depend on their size.
+        .join(
+            table(spark, folder, "orders").hint("merge"),
+            F.col("l_orderkey") == F.col("o_orderkey"),
+        )
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -164,7 +170,7 @@ def _one_of(words, number: Column) -> Column:
 
 
 def _event_columns() -> dict[str, Column]:
-    number = F.get_json_object("props", "$.k").cast("int")
+    number = F.col("number")
     kind = F.col("event_type")
     return {
         "eventType": kind,
@@ -180,12 +186,17 @@ def _event_columns() -> dict[str, Column]:
     }
 
 
+def _numbered_events(spark: SparkSession, folder: str) -> DataFrame:
+    number = F.get_json_object("props", "$.k").cast("int")
+    return table(spark, folder, "events").withColumn("number", number)
+
+
 def stored_events(spark: SparkSession, folder: str) -> DataFrame:
     """The flat event table."""
     time = F.date_trunc("second", F.col("ts").cast("timestamp"))
     columns = {**_event_columns(), "timestamp": time}
     return (
-        table(spark, folder, "events")
+        _numbered_events(spark, folder)
         .select([columns[name].alias(name) for name in S.EVENT_COLUMNS])
         .withColumns({"event_date": F.to_date("timestamp"), "event_hour": F.hour("timestamp")})
     )
@@ -218,4 +229,4 @@ def event_records(spark: SparkSession, folder: str, junk: bool = False) -> DataF
         value = F.when(
             F.col("event_type") == "error", F.substring_index(value, ",", 2)
         ).otherwise(value)
-    return table(spark, folder, "events").select(value.alias("value"), "ts")
+    return _numbered_events(spark, folder).select(value.alias("value"), "ts")

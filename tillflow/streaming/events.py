@@ -38,24 +38,26 @@ def parse_events(records: DataFrame) -> DataFrame:
         "allowNonNumericNumbers": "false",
     }
     value = F.col("value").cast("string")
+    # As a generated row, so that filters on several fields decode a record once, not
+    # once per field.
     decoded = records.select(
-        value.alias(_RAW), F.from_json(value, schema, options).alias("data")
+        value.alias(_RAW), F.inline(F.array(F.from_json(value, schema, options)))
     )
     flat = decoded.select(
         _RAW,
-        F.col(f"data.{_UNREADABLE}").alias(_UNREADABLE),
-        "data.eventType",
-        "data.customerId",
-        "data.productId",
-        F.col("data.timestamp").alias("time_text"),
-        F.try_to_timestamp("data.timestamp").alias("timestamp"),
-        "data.metadata.category",
-        "data.metadata.source",
-        "data.quantity",
-        "data.totalAmount",
-        "data.paymentMethod",
-        "data.recommendedProductId",
-        "data.algorithm",
+        _UNREADABLE,
+        "eventType",
+        "customerId",
+        "productId",
+        F.col("timestamp").alias("time_text"),
+        F.try_to_timestamp("timestamp").alias("timestamp"),
+        "metadata.category",
+        "metadata.source",
+        "quantity",
+        "totalAmount",
+        "paymentMethod",
+        "recommendedProductId",
+        "algorithm",
     )
     # A time of day alone would be read as today, hence the second look at the text.
     has_time = F.col("timestamp").isNotNull() & F.col("time_text").try_cast("date").isNotNull()
