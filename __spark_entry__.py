@@ -228,7 +228,7 @@ def top_offers_per_product(spark, folder):
 def daily_sales_dump(spark, folder):
     columns = ("sales_agent_id", "product_id", "units", S.FACT_PARTITION)
     return b2b.daily_sales_dump(
-        tpch.sales_fact(spark, folder, *columns),
+        tpch.sales_fact(spark, folder, *columns, day=REPORT_DAY),
         tpch.stored_agents(spark, folder),
         tpch.stored_products(spark, folder),
         REPORT_DAY,

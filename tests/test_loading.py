@@ -1,0 +1,199 @@
+"""Drops, warehouse tables, reports and the jobs around them."""
+
+import uuid
+from datetime import date, datetime
+from pathlib import Path
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from test_cleaning_and_star import SALE, raw_sales
+
+from tillflow import fixed_values as V
+from tillflow import jobs
+from tillflow import schemas as S
+from tillflow.operators import cleaning, star
+from tillflow.plans import b2b
+from tillflow.sources import drops, reports, tables
+from tillflow.sources.workspace import fresh_folder
+
+HOUR = datetime(2022, 1, 16, 5)
+
+
+@pytest.fixture
+def database(spark):
+    name = f"shop_{uuid.uuid4().hex}"
+    tables.create_database(spark, name)
+    return name
+
+
+def write_file(path, header, *lines):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join([",".join(header), *(",".join(line) for line in lines)]) + "\n")
+
+
+def sale_line(**change):
+    return [({**SALE, **change}[name] or "") for name in V.SALES_COLUMNS]
+
+
+def write_drops(base):
+    hour = Path(drops.hour_folder(str(base), HOUR))
+    write_file(
+        hour / "group1" / f"{V.SALES_KIND}_1.csv",
+        V.SALES_COLUMNS,
+        sale_line(offer_1="True", customer_fname=" Ann "),
+        sale_line(transaction_id="2", product_id="101", product_name="Lamp", units="9"),
+        sale_line(transaction_id="2", product_id="101", product_name="Lamp", units="9"),
+    )
+    # The offers of this file would be read as numbers, those above as booleans.
+    write_file(
+        hour / "group2" / f"{V.SALES_KIND}_2.csv",
+        V.SALES_COLUMNS,
+        sale_line(transaction_id="3", offer_1="0", offer_2="1", transaction_date="2022-01-17"),
+        sale_line(transaction_id="4", customer_id="", product_id=""),
+    )
+    for group in ("group1", "group2"):
+        write_file(hour / group / f"{V.AGENTS_KIND}_1.csv", V.AGENT_COLUMNS, ["5", " Bob "])
+        write_file(hour / group / f"{V.BRANCHES_KIND}_1.csv", V.BRANCH_COLUMNS, ["3", "A", "Giza"])
+    return hour
+
+
+def test_hour_folder():
+    assert drops.hour_folder("/raw/", HOUR) == "/raw/2022/01/16/05"
+
+
+def test_scan_reads_every_group_as_text_and_keeps_duplicates(spark, tmp_path):
+    hour = write_drops(tmp_path)
+    raw = drops.scan_drop(spark, str(hour), V.SALES_KIND)
+    assert raw.columns == list(V.SALES_COLUMNS)
+    assert {f.dataType.simpleString() for f in raw.schema} == {"string"}
+    assert raw.count() == 5
+    assert raw.where("transaction_id = 1").first().customer_fname == " Ann "
+
+
+def test_scan_of_a_missing_hour_raises(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        drops.scan_drop(spark, str(tmp_path / "none"), V.SALES_KIND)
+
+
+def test_scan_selects_by_name_from_files_with_more_columns(spark, tmp_path):
+    header = ("country", "name", "sales_person_id")
+    write_file(tmp_path / "g" / f"{V.AGENTS_KIND}_1.csv", header, ["EG", "Bob", "5"])
+    agents = drops.scan_drop(spark, str(tmp_path), V.AGENTS_KIND, file_columns=header)
+    assert [tuple(row) for row in agents.collect()] == [("5", "Bob")]
+
+
+def test_a_file_with_another_header_raises_rather_than_shifting_values(spark, tmp_path):
+    write_file(tmp_path / "g" / f"{V.AGENTS_KIND}_1.csv", ("name", "sales_person_id"), ["Bob", "5"])
+    with pytest.raises(Exception, match="(?i)header"):
+        drops.scan_drop(spark, str(tmp_path), V.AGENTS_KIND).collect()
+
+
+def test_batch_load_end_to_end(spark, tmp_path, database):
+    write_drops(tmp_path)
+    jobs.load_hour(spark, str(tmp_path), HOUR, database)
+
+    def contents():
+        return {
+            name: sorted(map(str, spark.table(f"{database}.{name}").collect()))
+            for name in (V.FACT_TABLE, *S.DIMENSION_COLUMNS)
+        }
+
+    first = contents()
+    fact = spark.table(f"{database}.{V.FACT_TABLE}")
+    assert {
+        row.transaction_id: (row.units, row.discount_percentage) for row in fact.collect()
+    } == {"1": (2, 5.0), "2": (9, 0.0), "3": (2, 10.0), "4": (2, 0.0)}
+    assert [row.product_id for row in spark.table(f"{database}.{V.PRODUCT_TABLE}").collect()] != []
+    assert {name: len(rows) for name, rows in first.items()} == {
+        V.FACT_TABLE: 4,
+        V.CUSTOMER_TABLE: 1,
+        V.PRODUCT_TABLE: 2,
+        V.AGENT_TABLE: 1,
+        V.BRANCH_TABLE: 1,
+    }
+    jobs.load_hour(spark, str(tmp_path), HOUR, database)
+    assert contents() == first
+
+    report = jobs.daily_report(spark, database, date(2022, 1, 16), str(tmp_path / "reports"))
+    assert report.endswith("sales_data_2022-1-16")
+    (part,) = Path(report).glob("part-*.csv")
+    assert part.read_text() == (
+        "sales_agent_name,product_name,total_sold_units\nBob,Lamp,9\nBob,Kettle,2\n"
+    )
+
+
+def test_append_adds_and_rerun_of_an_hour_replaces(spark, database):
+    fact = star.fact_projection(
+        cleaning.clean_sales(
+            raw_sales(spark, {}, {"transaction_id": "2", "transaction_date": "2022-01-18"})
+        )
+    )
+    table = tables.create_fact_table(spark, database)
+    tables.append_fact(fact, table)
+    tables.append_fact(fact, table)
+    assert spark.table(table).count() == 4
+
+    other = f"{database}_by_hour"
+    tables.create_database(spark, other)
+    table = tables.create_fact_table(spark, other, by_load_hour=True)
+    tables.replace_fact_hour(fact, table, "2022-01-16-04")
+    tables.replace_fact_hour(fact, table, "2022-01-16-05")
+    # The rerun has no row for the second date any more.
+    tables.replace_fact_hour(fact.where("transaction_id = 1"), table, "2022-01-16-05")
+    assert spark.table(table).groupBy("load_hour").count().orderBy("load_hour").collect() == [
+        ("2022-01-16-04", 2),
+        ("2022-01-16-05", 1),
+    ]
+
+
+def test_report_day_reads_one_date_folder(spark, database):
+    fact = star.fact_projection(
+        cleaning.clean_sales(
+            raw_sales(spark, {}, {"transaction_id": "2", "transaction_date": "2022-01-18"})
+        )
+    )
+    table = tables.create_fact_table(spark, database)
+    tables.append_fact(fact, table)
+    day = spark.table(table).where(F.col(S.FACT_PARTITION) == "2022-01-18")
+    assert len(day.inputFiles()) == 1
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(transaction_date" in plan
+    assert day.count() == 1
+
+
+def test_dimension_rows_once_inserted_never_change(spark, database):
+    table = tables.create_dimension_table(spark, database, V.AGENT_TABLE)
+    schema = S.raw_schema(V.AGENT_COLUMNS)
+    tables.append_dimension(spark.createDataFrame([("1", "Bob")], schema), table)
+    tables.append_dimension(spark.createDataFrame([("1", "Rob"), ("2", "Eve")], schema), table)
+    assert sorted(tuple(row) for row in spark.table(table).collect()) == [("1", "Bob"), ("2", "Eve")]
+
+
+def test_catalog(spark, database):
+    assert database in [row.namespace for row in tables.list_databases(spark).collect()]
+    frame = spark.range(3)
+    tables.register_views({V.FACT_TABLE: frame})
+    assert spark.table(f"batch_{V.FACT_TABLE}").count() == 3
+    assert [row.id for row in tables.table_sample(frame, 2, "id").collect()] == [0, 1]
+    assert tables.table_sample(frame, 2).count() == 2
+
+
+def test_large_report_is_split_in_order(spark, tmp_path):
+    report = spark.range(100).select(
+        (F.col("id") % 50).alias("total_sold_units"),
+        F.col("id").cast("string").alias("sales_agent_name"),
+        F.lit("p").alias("product_name"),
+    )
+    order = b2b.daily_report_order()
+    reports.write_csv_report(report, str(tmp_path / "r"), *order, rows_per_file=30)
+    parts = sorted((tmp_path / "r").glob("part-*.csv"))
+    assert len(parts) == 4
+    values = [int(line.split(",")[0]) for part in parts for line in part.read_text().split()[1:]]
+    assert values == sorted(values, reverse=True) and len(values) == 100
+
+
+def test_fresh_folder_lies_in_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = fresh_folder(spark, "x"), fresh_folder(spark, "x")
+    assert first.startswith(f"{shared}/x-") and first != second

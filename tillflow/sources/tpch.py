@@ -5,6 +5,8 @@ padding, junk and gaps. The star ones give stored tables; `sales_fact` joins onl
 the tables its asked-for columns need, as a stored fact would read only those columns.
 """
 
+from datetime import date, datetime, time, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,8 +108,13 @@ def raw_branches(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def sales_fact(spark: SparkSession, folder: str, *wanted: str) -> DataFrame:
-    """The fact with the wanted columns."""
+def sales_fact(
+    spark: SparkSession, folder: str, *wanted: str, day: date | None = None
+) -> DataFrame:
+    """The fact with the wanted columns, of all days or of one.
+
+    A stored fact is partitioned by day; here the day is pushed into the scan of the orders.
+    """
     columns = {
         "transaction_id": F.col("l_orderkey").cast("string"),
         "customer_id": F.col("o_custkey").cast("string"),
@@ -125,6 +132,15 @@ def sales_fact(spark: SparkSession, folder: str, *wanted: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
     if {"customer_id", S.FACT_PARTITION} & set(wanted):
         orders = table(spark, folder, "orders")
+        if day is not None:
+            start = datetime.combine(day, time())
+            first, next_first = (
+                F.lit(border.isoformat()).cast("timestamp_ntz")
+                for border in (start, start + timedelta(days=1))
+            )
+            orders = orders.where(
+                (F.col("o_orderdate") >= first) & (F.col("o_orderdate") < next_first)
+            )
         lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if {"unit_price", "total_paid_price"} & set(wanted):
         parts = table(spark, folder, "part")
