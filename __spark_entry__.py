@@ -135,10 +135,11 @@ def fact_load(spark, folder):
 
 
 def fact_load_rerun(spark, folder):
-    """Load an hour of which an earlier run got online sales only; the rerun replaces them."""
+    """Load an hour of which an earlier run got one day only; the rerun replaces it."""
     table = tables.create_fact_table(spark, _fresh_database(spark), by_load_hour=True)
     fact = _fact(spark, folder)
-    tables.replace_fact_hour(fact.where("is_online"), table, "2022-01-16-05")
+    one_day = fact.where(F.col(S.FACT_PARTITION) == REPORT_DAY.isoformat())
+    tables.replace_fact_hour(one_day, table, "2022-01-16-05")
     tables.replace_fact_hour(fact, table, "2022-01-16-05")
     return spark.table(table).drop(tables.LOAD_HOUR)
 
@@ -332,7 +333,7 @@ def repair_partitions(spark, folder):
 
 
 def incremental_landing(spark, folder):
-    """Land the drops of two groups, one file at a time, then run again with nothing new."""
+    """Land the drops of two groups, some files at a time, then run again with nothing new."""
     base = fresh_folder(spark, "landing")
     _write_sales_drops(spark, folder, f"{base}/drops")
     for _ in range(2):
@@ -342,7 +343,7 @@ def incremental_landing(spark, folder):
             V.SALES_KIND,
             f"{base}/zone",
             f"{base}/checkpoint",
-            max_files=1,
+            max_files=8,
             availableNow=True,
         ).awaitTermination()
     return raw_files.read_raw_zone(spark, f"{base}/zone", V.SALES_KIND).select(

@@ -218,6 +218,11 @@ def test_compaction_keeps_large_hours_in_several_files(stream):
     assert stream.read().count() == 4
 
 
+def test_compaction_before_anything_landed_does_nothing(spark, tmp_path):
+    path = str(tmp_path / "none")
+    assert maintenance.compact_partition(spark, path, date(2024, 1, 1), 5) is False
+
+
 def test_closed_hour():
     assert maintenance.closed_hour(datetime(2024, 1, 2, 0, 5)) == (date(2024, 1, 1), 23)
     assert maintenance.closed_hour(datetime(2024, 1, 2, 12, 5), lag_hours=3) == (date(2024, 1, 2), 9)

@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow import schemas as S
-from tillflow.streaming.landing import PARTITIONS, read_events, table_schema
+from tillflow.streaming.landing import (
+    PARTITIONS,
+    read_events,
+    read_events_if_any,
+    table_schema,
+)
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -42,7 +47,10 @@ def compact_partition(
     The number of files follows from the bytes stored, one for a small hour. Scan
     splits are merged where they are read, so the rewrite needs no shuffle.
     """
-    hour = read_events(spark, path).where(
+    stored = read_events_if_any(spark, path)
+    if stored is None:
+        return False
+    hour = stored.where(
         (F.col("event_date") == F.lit(event_date)) & (F.col("event_hour") == event_hour)
     )
     files, size = (

@@ -1,4 +1,8 @@
-"""Schemas of raw files, warehouse tables and app events."""
+"""Schemas of raw files, warehouse tables and app events.
+
+Names and types of the tables and of the events are fixed values: producers and
+stored tables use them already.
+"""
 
 from pyspark.sql import types as T
 

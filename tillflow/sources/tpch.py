@@ -16,6 +16,7 @@ from tillflow.functions.flags import discount_percentage, yes_no_flag
 from tillflow.functions.money import total_paid_price
 from tillflow.functions.text import split_address
 
+# Words the apps send.
 _CATEGORIES = ("Electronics", "Clothing", "Home & Kitchen", "Books")
 _SOURCES = ("Advertisement", "Search", "Direct")
 _PAYMENTS = ("Credit Card", "Debit Card", "PayPal")

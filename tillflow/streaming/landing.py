@@ -28,6 +28,16 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(table_schema()).parquet(path)
 
 
+def read_events_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+    """The landed table, or None before anything was landed."""
+    try:
+        return read_events(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def _write(rows: DataFrame, path: str, mode: str, partitions) -> None:
     (
         rows.write.mode(mode)
@@ -45,12 +55,9 @@ def _stored_hours_of_epoch(rows: DataFrame, path: str, epoch: str) -> DataFrame
     first, last = rows.agg(F.min("event_date"), F.max("event_date")).first()
     if first is None:
         return None
-    try:
-        stored = read_events(rows.sparkSession, path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    stored = read_events_if_any(rows.sparkSession, path)
+    if stored is None:
+        return None
     hours = (
         stored.where(F.col("event_date").between(F.lit(first), F.lit(last)))
         .where(F.col(S.EVENT_EPOCH) == epoch)
