@@ -164,6 +164,11 @@ def test_new_rows_leave_known_keys_alone(spark):
     ]
 
 
+def test_dimensions_need_no_deduplication(spark):
+    plan = star.product_dim(cleaning.clean_sales(raw_sales(spark, {})))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
+
+
 def test_a_hot_customer_is_combined_before_the_shuffle(spark):
     sales = cleaning.clean_sales(raw_sales(spark, {})).withColumn(
         "n", F.explode(F.sequence(F.lit(1), F.lit(10)))

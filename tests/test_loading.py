@@ -162,6 +162,41 @@ def test_report_day_reads_one_date_folder(spark, database):
     assert day.count() == 1
 
 
+def test_a_hot_date_is_written_by_several_tasks(spark, database):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "64KB")
+    try:
+        ids = F.col("id").cast("string")
+        day = F.when(F.col("id") % 3 == 0, "2022-01-01").otherwise(
+            F.date_add(F.lit(date(2022, 2, 1)), (F.col("id") % 50).cast("int")).cast("string")
+        )
+        values = {
+            **{name: F.sha2(ids, 256) for name in S.FACT_COLUMNS},
+            "units": F.lit(1),
+            "unit_price": F.lit(1.0),
+            "discount_percentage": F.lit(0.0),
+            "total_paid_price": F.lit(1.0),
+            "is_online": F.lit(True),
+            S.FACT_PARTITION: day,
+        }
+        fact = spark.range(0, 30_000, 1, 4).select([v.alias(n) for n, v in values.items()])
+        table = tables.create_fact_table(spark, database)
+        tables.append_fact(fact, table)
+    finally:
+        spark.conf.unset(key)
+    files = {
+        row.transaction_date: row.files
+        for row in spark.table(table)
+        .groupBy(S.FACT_PARTITION)
+        .agg(F.countDistinct("_metadata.file_path").alias("files"))
+        .collect()
+    }
+    hot = files.pop("2022-01-01")
+    # Dates that hash to the hot one's partition are split with it.
+    assert hot > 2 and sum(n == 1 for n in files.values()) > len(files) / 2
+    assert spark.table(table).count() == 30_000
+
+
 def test_dimension_rows_once_inserted_never_change(spark, database):
     table = tables.create_dimension_table(spark, database, V.AGENT_TABLE)
     schema = S.raw_schema(V.AGENT_COLUMNS)
