@@ -79,8 +79,9 @@ def test_trim_all(spark):
 def test_canonical_spelling_keeps_what_it_cannot_read(spark):
     ids = apply(spark, ["007", "7", "A7", None], lambda v: canonical(v, "bigint"))
     assert ids == ["7", "7", "A7", None]
-    days = apply(spark, ["2022-1-16", "2022-01-16", "junk"], lambda v: canonical(v, "date"))
-    assert days == ["2022-01-16", "2022-01-16", "junk"]
+    texts = ["2022-1-16", "2022-01-16", "2022-01-16 10:00:00", "2022-01-16T10:00:00", "junk"]
+    days = apply(spark, texts, lambda v: canonical(v, "date"))
+    assert days == ["2022-01-16", "2022-01-16", *texts[2:]]
 
 
 def test_numbers_that_are_none_become_null(spark):

@@ -16,6 +16,7 @@ from tillflow.operators import cleaning, star
 from tillflow.plans import b2b
 from tillflow.sources import drops, reports, tables
 from tillflow.sources.workspace import fresh_folder
+from tillflow.streaming import raw_files
 
 HOUR = datetime(2022, 1, 16, 5)
 
@@ -123,6 +124,20 @@ def test_batch_load_end_to_end(spark, tmp_path, database):
     )
 
 
+def test_landed_files_are_loaded_by_ingestion_hour(spark, tmp_path, database):
+    hour = write_drops(tmp_path / "drops")
+    zone = str(tmp_path / "zone")
+    for _ in range(2):
+        jobs.land_new_files(spark, str(hour), zone, str(tmp_path / "checkpoints"))
+    landed = raw_files.read_raw_zone(spark, f"{zone}/{V.SALES_KIND}", V.SALES_KIND)
+    (ingest_hour,) = {row[raw_files.INGEST_HOUR] for row in landed.collect()}
+    for _ in range(2):
+        jobs.load_landed_hour(spark, zone, ingest_hour, database)
+    fact = spark.table(f"{database}.{V.FACT_TABLE}")
+    assert sorted(row.transaction_id for row in fact.collect()) == ["1", "2", "3", "4"]
+    assert spark.table(f"{database}.{V.AGENT_TABLE}").count() == 1
+
+
 def test_append_adds_and_rerun_of_an_hour_replaces(spark, database):
     fact = star.fact_projection(
         cleaning.clean_sales(
@@ -164,7 +179,7 @@ def test_report_day_reads_one_date_folder(spark, database):
 
 def test_a_hot_date_is_written_by_several_tasks(spark, database):
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    spark.conf.set(key, "64KB")
+    spark.conf.set(key, "256KB")
     try:
         ids = F.col("id").cast("string")
         day = F.when(F.col("id") % 3 == 0, "2022-01-01").otherwise(

@@ -12,8 +12,14 @@ def trim_all(df: DataFrame) -> DataFrame:
 
 
 def canonical(text: Column, type_name: str) -> Column:
-    """One spelling per value: `007` and `7` agree as bigint; unreadable text stays as it is."""
-    return F.coalesce(text.try_cast(type_name).cast("string"), text)
+    """One spelling per value: `007` and `7` agree as bigint; unreadable text stays as it is.
+
+    So does a date with a time of day, of which a date would keep less.
+    """
+    value = text.try_cast(type_name)
+    if type_name == "date":
+        value = F.when(~text.rlike(r"[\sT]"), value)
+    return F.coalesce(value.cast("string"), text)
 
 
 def clean_email(email: Column) -> Column:

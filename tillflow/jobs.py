@@ -10,6 +10,9 @@ from tillflow.plans.b2b import daily_report_order, daily_sales_dump
 from tillflow.sources import tables
 from tillflow.sources.drops import hour_folder, scan_drop
 from tillflow.sources.reports import write_csv_report
+from tillflow.streaming.raw_files import land_raw_files, read_raw_zone
+
+_KINDS = (V.SALES_KIND, V.AGENTS_KIND, V.BRANCHES_KIND)
 
 
 def load_batch(
@@ -51,14 +54,29 @@ def load_hour(spark: SparkSession, base: str, run_hour: datetime, database: str)
     """Load the drops of one hour; running it again changes nothing."""
     tables.create_database(spark, database)
     folder = hour_folder(base, run_hour)
-    load_batch(
-        spark,
-        database,
-        scan_drop(spark, folder, V.SALES_KIND),
-        scan_drop(spark, folder, V.AGENTS_KIND),
-        scan_drop(spark, folder, V.BRANCHES_KIND),
-        load_hour=run_hour.strftime("%Y-%m-%d-%H"),
-    )
+    drops = [scan_drop(spark, folder, kind) for kind in _KINDS]
+    load_batch(spark, database, *drops, load_hour=run_hour.strftime("%Y-%m-%d-%H"))
+
+
+def land_new_files(spark: SparkSession, drops: str, zone: str, checkpoints: str, **limits) -> None:
+    """Take the files that appeared below `drops/<group>/` since the last run to the raw zone."""
+    for kind in _KINDS:
+        land_raw_files(
+            spark,
+            drops,
+            kind,
+            f"{zone}/{kind}",
+            f"{checkpoints}/{kind}",
+            availableNow=True,
+            **limits,
+        ).awaitTermination()
+
+
+def load_landed_hour(spark: SparkSession, zone: str, ingest_hour: str, database: str) -> None:
+    """Load what was landed in one hour (`yyyy-MM-dd-HH`); running it again changes nothing."""
+    tables.create_database(spark, database)
+    landed = [read_raw_zone(spark, f"{zone}/{kind}", kind, ingest_hour) for kind in _KINDS]
+    load_batch(spark, database, *landed, load_hour=ingest_hour)
 
 
 def daily_report(spark: SparkSession, database: str, day: date, folder: str) -> str:

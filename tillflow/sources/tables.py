@@ -66,7 +66,8 @@ def replace_fact_hour(fact: DataFrame, table: str, load_hour: str) -> None:
     """Write the rows of one load hour; a rerun replaces what that hour wrote before.
 
     Needs a table made with `by_load_hour`. The hour is a static partition, so dates
-    that an earlier run wrote and this one does not are removed as well.
+    that an earlier run wrote and this one does not are removed as well (in Spark's
+    default, static, overwrite mode).
     """
     rows = _grouped_by_date(fact).select(*S.FACT_COLUMNS, S.FACT_PARTITION)
     fact.sparkSession.sql(
