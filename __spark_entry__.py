@@ -74,9 +74,8 @@ def trimmed(spark, folder):
 
 
 def cleaned_email(spark, folder):
-    return tpch.raw_sales(spark, folder).select(
-        "transaction_id", "customer_id", clean_email(F.col("cusomter_email")).alias("customer_email")
-    )
+    email = clean_email(F.col("cusomter_email")).alias("customer_email")
+    return tpch.raw_sales(spark, folder).select("transaction_id", "customer_id", email)
 
 
 def address_parts(spark, folder):

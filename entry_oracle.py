@@ -35,7 +35,9 @@ raw AS (
   JOIN supplier ON l_suppkey = s_suppkey
 )"""
 
-_OFFERS = ", ".join(f"coalesce(cast(offer_{n} AS boolean), false) AS offer_{n}" for n in range(1, 6))
+_OFFERS = ", ".join(
+    f"coalesce(cast(offer_{n} AS boolean), false) AS offer_{n}" for n in range(1, 6)
+)
 _PARTS = ", ".join(
     f"trim(string_split(shipping_address, '/')[{n}]) AS {name}"
     for n, name in enumerate(("address", "city", "state", "postal_code"), start=1)

@@ -67,9 +67,8 @@ def test_most_selling_products(star):
 
 
 def test_a_repeated_product_counts_for_each_of_its_rows(spark, star):
-    products = star["products"].union(
-        spark.createDataFrame([("p2", "Lamp", "Other"), ("p2", "Torch", "Light")], "a string, b string, c string")
-    )
+    again = [("p2", "Lamp", "Other"), ("p2", "Torch", "Light")]
+    products = star["products"].union(spark.createDataFrame(again, star["products"].schema))
     got = rows(marketing.most_selling_products(star["fact"], products))
     assert ("p2", "Lamp", 2) in got and ("p2", "Torch", 1) in got
 

@@ -125,7 +125,11 @@ def test_landing_partitions_by_event_time_and_keeps_rejects(stream):
     stream.run()
     hours = [
         (row.event_date, row.event_hour)
-        for row in stream.read().select(landing.PARTITIONS).distinct().orderBy("event_hour").collect()
+        for row in stream.read()
+        .select(landing.PARTITIONS)
+        .distinct()
+        .orderBy("event_hour")
+        .collect()
     ]
     assert hours == [(date(2024, 1, 1), 5), (date(2024, 1, 1), 23)]
     assert (stream.base / "table" / "event_date=2024-01-01" / "event_hour=5").is_dir()
@@ -138,11 +142,12 @@ def test_restart_takes_only_what_is_new_and_late_events_join_their_hour(stream):
     stream.run()
     stream.run()
     assert amounts(stream) == [12.5]
-    stream.drop("b", {**PURCHASE, "totalAmount": 1.0}, {**PURCHASE, "timestamp": "2023-12-31T00:00:00"})
+    late = {**PURCHASE, "timestamp": "2023-12-31T00:00:00"}
+    stream.drop("b", {**PURCHASE, "totalAmount": 1.0}, late)
     stream.run()
     assert amounts(stream) == [1.0, 12.5, 12.5]
-    late = stream.read().where("event_date = '2023-12-31' and event_hour = 0")
-    assert late.count() == 1
+    landed = stream.read().where("event_date = '2023-12-31' and event_hour = 0")
+    assert landed.count() == 1
 
 
 def test_a_replayed_batch_replaces_its_own_rows(stream):

@@ -42,14 +42,10 @@ def clean_sales(raw: DataFrame) -> DataFrame:
 
 
 def _clean_lookup(raw: DataFrame, columns, types) -> DataFrame:
-    return raw.select(
-        [
-            (
-                canonical(F.trim(F.col(name)), types[name]) if name in types else F.trim(F.col(name))
-            ).alias(name)
-            for name in columns
-        ]
-    )
+    trimmed = {name: F.trim(F.col(name)) for name in columns}
+    for name, type_name in types.items():
+        trimmed[name] = canonical(trimmed[name], type_name)
+    return raw.select([text.alias(name) for name, text in trimmed.items()])
 
 
 def clean_agents(raw: DataFrame) -> DataFrame:

@@ -80,7 +80,9 @@ def compact_range(spark: SparkSession, path: str, start: date, end: date) -> Non
 
 def create_event_table(spark: SparkSession, table: str, path: str) -> None:
     """Register a landed folder as a table; its partitions become visible by a repair."""
-    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in table_schema())
+    columns = ", ".join(
+        f"`{field.name}` {field.dataType.simpleString()}" for field in table_schema()
+    )
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet"
         f" PARTITIONED BY ({', '.join(S.EVENT_PARTITIONS)}) LOCATION '{path}'"

@@ -2,7 +2,7 @@
 
 from pyspark.sql import SparkSession
 
-# All but the time zone and the partition count are Spark's defaults, named since plans rely on them.
+# All but the time zone and the partition count are Spark's defaults; plans rely on them.
 SETTINGS = {
     # Event times carry no zone.
     "spark.sql.session.timeZone": "UTC",
