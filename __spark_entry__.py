@@ -19,6 +19,14 @@ from tillflow.sources import drops, reports, tables, tpch
 from tillflow.sources.workspace import fresh_folder
 from tillflow.streaming import events, landing, raw_files
 
+try:
+    import corpus_pipeline
+    from tillflow.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tillflow.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 REPORT_DAY = date(1997, 2, 1)
 # Borders between a first and a second batch; about half the keys are new in the second.
 CUSTOMER_SPLIT = "1995-06-01"
@@ -401,6 +409,16 @@ _QUERIES = {
 }
 
 
+_SQL = entry_oracle.build(REPORT_DAY.isoformat(), CUSTOMER_SPLIT, PRODUCT_SPLIT)
+
+if llm is not None:
+    _QUERIES |= llm.QUERIES
+    _QUERIES["pipeline"] = corpus_pipeline.run
+    _SQL |= llm.ORACLE_SQL
+    if corpus_pipeline.ORACLE_SQL:
+        _SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 _SETTINGS = {
     # Event times carry no zone; both sides of a comparison read them as UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -437,4 +455,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The same result as each query, in SQL for DuckDB."""
-    return entry_oracle.build(REPORT_DAY.isoformat(), CUSTOMER_SPLIT, PRODUCT_SPLIT)
+    return dict(_SQL)

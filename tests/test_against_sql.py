@@ -18,10 +18,12 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(SQL)
+    """The operators on documents and vectors are tested beside their code."""
+    others = {name for name in QUERIES if name.startswith("op") or name == "pipeline"}
+    assert set(QUERIES) - others == set(SQL) - others
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", SQL)
 def test_query_equals_sql(spark, duck, name):
     names, rows = compare.spark_rows(QUERIES[name](spark, FOLDER))
     expected_names, expected = compare.duck_rows(duck, SQL[name])
