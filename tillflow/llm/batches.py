@@ -20,6 +20,12 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+# Letters, capitals and digits alike; other characters stand for themselves.
+_SHAPE = np.arange(256, dtype=np.uint8)
+_SHAPE[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = ord("a")
+_SHAPE[0x41:0x5B] = ord("A")
+_SHAPE[0x30:0x3A] = ord("9")
+
 _RNG = np.random.default_rng(20240229)
 _BYTE_CODE = _RNG.integers(1 << 62, size=256, dtype=np.uint64) | _U64(1)
 _PLACE = _RNG.integers(1 << 62, size=64, dtype=np.uint64) | _U64(1)
@@ -68,8 +74,11 @@ def text_bytes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def word_hashes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word of each row, in order, and the number of words of each row."""
+def word_hashes(text: pa.Array, shape: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of each row, in order, and the number of words of each row.
+
+    shape: words whose kinds of characters follow one another alike have equal hashes.
+    """
     raw, offsets = text_bytes(text)
     if not len(raw):
         return np.zeros(0, dtype=np.uint64), np.zeros(len(offsets) - 1, dtype=np.int64)
@@ -82,12 +91,14 @@ def word_hashes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     counts = np.diff(np.searchsorted(firsts, offsets))
     if not len(firsts):
         return np.zeros(0, dtype=np.uint64), counts
+    if shape:
+        raw = _SHAPE[raw]
+        inside[1:] &= starts[1:] | (raw[1:] != raw[:-1])
     places = np.flatnonzero(inside)
-    word_of = np.cumsum(starts[places]) - 1
-    depth = places - firsts[word_of]
+    heads = np.searchsorted(places, firsts)
+    depth = np.arange(len(places)) - np.repeat(heads, np.diff(np.append(heads, len(places))))
     power = np.multiply.accumulate(np.full(int(depth.max()) + 1, _BASE, dtype=np.uint64))
     codes = _BYTE_CODE[raw[places]] * power[depth]
-    heads = np.searchsorted(places, firsts)
     return mix(np.add.reduceat(codes, heads)), counts
 
 
