@@ -2,23 +2,43 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from tillflow.llm import oracle
+from tillflow.llm.bpe import digest_documents
+from tillflow.llm.embedding_dedup import near_vectors
+from tillflow.llm.hmm_scoring import score_documents
+from tillflow.llm.minhash_dedup import near_documents
+from tillflow.llm.packing import pack_documents
+from tillflow.llm.quality_classifier import quality_classifier
 from tillflow.llm.quality_rules import quality_rules
 from tillflow.llm.sharding import shard_rows
 from tillflow.llm.storage import table
+from tillflow.llm.substring_dedup import substring_dedup
+from tillflow.llm.toxicity import toxicity
 
 
-def op7_sharding(spark, folder):
-    return shard_rows(table(spark, folder, "documents"))
+def _on_documents(operator, *more):
+    return lambda spark, folder: operator(table(spark, folder, "documents"), *more)
 
 
-def op8_quality_rules(spark, folder):
-    return quality_rules(table(spark, folder, "documents"))
+def _on_labelled(operator):
+    return lambda spark, folder: operator(
+        table(spark, folder, "documents"), table(spark, folder, "labels")
+    )
 
 
 QUERIES = {
-    "op7_sharding": op7_sharding,
-    "op8_quality_rules": op8_quality_rules,
+    "op1_embedding_dedup": lambda spark, folder: near_vectors(table(spark, folder, "embeddings")),
+    "op2_minhash_dedup": _on_documents(near_documents),
+    "op3_toxicity": _on_labelled(toxicity),
+    "op4_quality_classifier": _on_labelled(quality_classifier),
+    "op5_hmm_scoring": _on_documents(score_documents),
+    "op6_bpe": _on_documents(digest_documents, public_tokenizers.path("word_bpe_49k.json")),
+    "op7_sharding": _on_documents(shard_rows),
+    "op8_quality_rules": _on_documents(quality_rules),
+    "op9_substring_dedup": _on_documents(substring_dedup),
+    "op10_packing": _on_documents(pack_documents, public_tokenizers.path("byte_bpe_50k.json")),
 }
 
 ORACLE_SQL = oracle.SQL
