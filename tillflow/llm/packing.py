@@ -15,12 +15,13 @@ looked at.
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +33,9 @@ from tillflow.llm.storage import written
 LENGTH = 1024
 END = 0  # the id that closes a document
 DIMENSIONS, BITS = 4, 10
-CACHED = 300_000
 _U64 = np.uint64
-# A blank may end the run before it only where it is not one of several white-space characters.
-_RUN_OF_SPACE = re.compile(r"\s \s|  |^ | $")
+# Fixed value: the pattern that splits text before merging, as for all vocabularies of this kind.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 # The curve -------------------------------------------------------------------
@@ -109,42 +109,49 @@ def _with_places(batches):
 # Tokens ------------------------------------------------------------------------
 
 
+def _byte_signs() -> dict[str, int]:
+    """Of each sign in the vocabulary file the byte it stands for.
+
+    Printable bytes stand for themselves; the others, in order, have the signs from 256 on.
+    """
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
 class Encoder:
-    """Token ids of texts as bytes, two for each id, with a memory of words.
+    """Token ids of texts as bytes, two for each id.
 
-    This vocabulary puts the blank before a word into its token. So a text may be cut before any
-    blank that stands between characters other than white space, and encoded run by run.
+    In this kind of vocabulary the id of a token is also its rank in merging, so the faster of the
+    two installed encoders can be built from the same file; it gives the same ids. Where it gives up
+    on a text, the other one takes over.
     """
 
     def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        signs = _byte_signs()
+        ranks = {bytes(signs[c] for c in t): i for t, i in parts["model"]["vocab"].items()}
+        special = {t["content"]: t["id"] for t in parts["added_tokens"]}
+        if max([*ranks.values(), *special.values()]) >= 1 << 16:
+            raise ValueError("ids must fit in two bytes")
+        self.fast = tiktoken.Encoding(
+            "packing", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special
+        )
         self.codec = Tokenizer.from_file(path)
         self.codec.no_truncation()
         self.codec.no_padding()
-        if self.codec.get_vocab_size(with_added_tokens=True) > 1 << 16:
-            raise ValueError("ids must fit in two bytes")
-        self.known: dict[str, bytes] = {}
 
-    def _learn(self, runs: set[str]) -> None:
-        missing = [run for run in runs if run not in self.known]
-        if len(self.known) + len(missing) > CACHED:
-            self.known = {}
-            missing = list(runs)
-        encoded = self.codec.encode_batch_fast(missing, add_special_tokens=False)
-        for run, tokens in zip(missing, encoded, strict=True):
-            self.known[run] = np.array(tokens.ids, dtype="<u2").tobytes()
+    def _ids(self, text: str) -> np.ndarray:
+        try:
+            return self.fast.encode_to_numpy(text, allowed_special="all")
+        except Exception:  # a text that its pattern matcher can't take, of any kind
+            return np.array(self.codec.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each whole text, followed by the closing id."""
-        parts = []
-        for text in texts:
-            if _RUN_OF_SPACE.search(text):
-                parts.append([text])
-            else:
-                first, *rest = text.split(" ")
-                parts.append([first, *[" " + word for word in rest]])
-        self._learn({run for runs in parts for run in runs})
         close = np.array([END], dtype="<u2").tobytes()
-        return [b"".join(map(self.known.__getitem__, runs)) + close for runs in parts]
+        return [self._ids(text).astype("<u2").tobytes() + close for text in texts]
 
 
 @lru_cache(maxsize=2)
