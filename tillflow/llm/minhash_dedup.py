@@ -293,13 +293,13 @@ def _strays(members: DataFrame, found: DataFrame, bits: int) -> DataFrame:
     mixed = written(placed.join(written(largest, "text-mixed"), "band"), "text-strays")
     mixed = mixed.where("id <> rep")
     stray = mixed.where("component <> largest").select(
-        "band",
+        F.col("band").alias("x_band"),
         F.col("id").alias("x"),
         F.col("component").alias("x_component"),
         F.col("bits").alias("x_bits"),
     )
     other = mixed.select(
-        "band",
+        F.col("band").alias("y_band"),
         F.col("id").alias("y"),
         F.col("component").alias("y_component"),
         F.col("bits").alias("y_bits"),
@@ -307,7 +307,7 @@ def _strays(members: DataFrame, found: DataFrame, bits: int) -> DataFrame:
     close = different_bits(F.col("x_bits"), F.col("y_bits")) <= bits
     apart = F.col("x_component") != F.col("y_component")
     return (
-        stray.join(other, (stray["band"] == other["band"]) & apart & close)
+        stray.join(other, (F.col("x_band") == F.col("y_band")) & apart & close)
         .select(*_ordered("x", "y"))
         .distinct()
     )
