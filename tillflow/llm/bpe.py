@@ -19,6 +19,7 @@ table gives no rows; other columns are not looked at. A text may be as long as a
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,13 +34,15 @@ from tillflow.llm.batches import slices
 LEAF = 2048  # characters of a leaf
 WINDOW = 32  # characters on each side of a join, to start with
 LOOKAHEAD = 4  # characters behind a token that decide where it ends, as in 're and 've
-CACHED = 300_000  # words a worker remembers
+CACHED = 300_000  # words after which a worker forgets those it has not met since the last time
 _SPACE = re.compile("[\x20\x09-\x0d]+")
 _SPACES = " \t\n\v\f\r"
 
 
 @lru_cache(maxsize=4)
 def tokenizer(path: str) -> Tokenizer:
+    # Tasks fill the cores already; threads of the library would only add to their work.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     loaded = Tokenizer.from_file(path)
     loaded.no_truncation()
     loaded.no_padding()
@@ -125,18 +128,25 @@ class Encoder:
         self.codec = tokenizer(path)
         self.leaf, self.window = leaf, window
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def learn(self, words) -> dict[str, tuple[int, ...]]:
         """Tokens of all given words: a dictionary to look them up in."""
-        missing = [w for w in set(words) if w not in self.known]
-        if len(self.known) + len(missing) > CACHED:
-            self.known = {}
-            missing = list(set(words))
+        known, missing = self.known, []
+        for word in set(words):
+            if word not in known:
+                ids = self.older.get(word)
+                if ids is None:
+                    missing.append(word)
+                else:
+                    known[word] = ids
         for word, encoded in zip(
             missing, self.codec.encode_batch_fast(missing, add_special_tokens=False), strict=True
         ):
-            self.known[word] = tuple(encoded.ids)
-        return self.known
+            known[word] = tuple(encoded.ids)
+        if len(known) > CACHED:
+            self.known, self.older = {}, known
+        return known
 
     def leaves(self, text: str) -> list[Leaf]:
         parts = []
