@@ -142,11 +142,12 @@ def fact_load(spark, folder):
 
 
 def fact_load_rerun(spark, folder):
-    """Load an hour of which an earlier run got one day only; the rerun replaces it."""
+    """Load an hour of which an earlier run got a day that the rerun has not; it replaces all."""
     table = tables.create_fact_table(spark, _fresh_database(spark), by_load_hour=True)
     fact = _fact(spark, folder)
     one_day = fact.where(F.col(S.FACT_PARTITION) == REPORT_DAY.isoformat())
-    tables.replace_fact_hour(one_day, table, "2022-01-16-05")
+    stray = one_day.withColumn(S.FACT_PARTITION, F.lit("2030-01-01"))
+    tables.replace_fact_hour(one_day.union(stray), table, "2022-01-16-05")
     tables.replace_fact_hour(fact, table, "2022-01-16-05")
     return spark.table(table).drop(tables.LOAD_HOUR)
 
@@ -422,9 +423,6 @@ if llm is not None:
 _SETTINGS = {
     # Event times carry no zone; both sides of a comparison read them as UTC.
     "spark.sql.session.timeZone": "UTC",
-    # Spread a small table over all cores too, as it may be written to thousands of
-    # date folders. Without effect on large ones, whose partitions are far bigger.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
 }
 
 

@@ -78,10 +78,10 @@ _FACT_COLUMNS = (
 
 
 def _first_row(source, key, fields, order=()):
-    """One row per key: the smallest by order, then by the fields, nulls first."""
+    """One row per key: the smallest by order, then by the fields, nulls last."""
     names = [field.split(" AS ")[-1] for field in fields]
-    ranking = ", ".join(f"{name} NULLS FIRST" for name in (*order, *names))
-    columns = ", ".join(dict.fromkeys([key, *order, *fields]))
+    ranking = ", ".join(f"{name} NULLS LAST" for name in (*order, *names))
+    columns = ", ".join(dict.fromkeys([key, *_ORDER_COLUMNS[: len(order)], *fields]))
     return f"""
   SELECT {', '.join([key, *names])} FROM (
     SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {ranking}) AS place
@@ -89,7 +89,8 @@ def _first_row(source, key, fields, order=()):
   ) WHERE place = 1"""
 
 
-_SALE_ORDER = ("transaction_date", "transaction_id")
+_ORDER_COLUMNS = ("transaction_date", "transaction_id")
+_SALE_ORDER = ("transaction_date", "try_cast(transaction_id AS bigint)", "transaction_id")
 _CUSTOMER_FIELDS = (
     "customer_fname AS first_name",
     "customer_lname AS last_name",

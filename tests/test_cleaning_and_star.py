@@ -175,3 +175,22 @@ def test_a_hot_customer_is_combined_before_the_shuffle(spark):
     )
     plan = star.customer_dim(sales)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_min") == 1
+
+
+def test_the_first_sale_is_dated_and_counted_as_a_number(spark):
+    sales = cleaning.clean_sales(
+        raw_sales(
+            spark,
+            {"transaction_id": "10", "product_name": "Tenth"},
+            {"transaction_id": "9", "product_name": "Ninth"},
+            {"transaction_id": "1", "transaction_date": "someday", "product_name": "Junk"},
+        )
+    )
+    assert [row.product_name for row in star.product_dim(sales).collect()] == ["Ninth"]
+
+
+def test_a_name_goes_before_no_name(spark):
+    agents = spark.createDataFrame(
+        [("1", None), ("1", "Bob")], "sales_person_id string, name string"
+    )
+    assert [tuple(row) for row in star.sales_agent_dim(agents).collect()] == [("1", "Bob")]

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from tillflow import fixed_values as V
 from tillflow.functions.flags import discount_percentage, offer_flag, yes_no_flag
-from tillflow.functions.money import exact_sum, to_cents, total_paid_price
+from tillflow.functions.money import (
+    amount_sum,
+    exact_sum,
+    partial_sums,
+    to_cents,
+    total_of_sums,
+    total_paid_price,
+)
 from tillflow.functions.text import (
     canonical,
     clean_email,
@@ -111,3 +118,15 @@ def test_exact_sum_holds_more_than_a_long_of_millionths(spark):
 def test_half_cents_round_up(spark):
     df = spark.createDataFrame([(1.005,), (1.0,)], "v double")
     assert df.agg(to_cents(exact_sum(F.col("v")))).first()[0] == 2.01
+
+
+@pytest.mark.parametrize(
+    "values", [[1e19], [1e300, 5.0], [9e18, 9e18, 0.5], [-1e19, 2.5], [1.25, None], [None]]
+)
+def test_sums_neither_fail_nor_saturate(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    given = [v for v in values if v is not None]
+    expected = sum(given) if given else None
+    assert df.agg(amount_sum(F.col("v"))).first()[0] == expected
+    groups = df.groupBy("v").agg(*partial_sums(F.col("v")))
+    assert groups.agg(total_of_sums()).first()[0] == expected

@@ -1,6 +1,8 @@
 """App events and raw files as streams: restarts, replays, junk and late events."""
 
 import json
+import os
+import time
 from datetime import date, datetime
 
 import pytest
@@ -281,3 +283,36 @@ def test_each_raw_file_is_landed_once(spark, tmp_path):
     hour = zone.first()[raw_files.INGEST_HOUR]
     assert raw_files.read_raw_zone(spark, str(tmp_path / "zone"), V.SALES_KIND, hour).count() > 0
     assert zone.select(raw_files.SOURCE_FILE).distinct().count() == 3
+
+
+@pytest.mark.parametrize("kind", ["raw files", "text events"])
+def test_files_of_any_age_are_taken(spark, tmp_path, kind):
+    drops, zone = tmp_path / "drops" / "g", str(tmp_path / "zone")
+
+    def run():
+        if kind == "raw files":
+            stream = raw_files.land_raw_files(
+                spark,
+                str(tmp_path / "drops"),
+                V.SALES_KIND,
+                zone,
+                str(tmp_path / "checkpoint"),
+                availableNow=True,
+            )
+        else:
+            stream = (
+                events.event_source(spark, "text", {}, path=str(drops))
+                .writeStream.option("checkpointLocation", str(tmp_path / "checkpoint"))
+                .trigger(availableNow=True)
+                .start(zone, format="parquet")
+            )
+        stream.awaitTermination()
+        return spark.read.parquet(zone).count()
+
+    write_file(drops / f"{V.SALES_KIND}_new.csv", V.SALES_COLUMNS, sale_line())
+    first = run()
+    old = drops / f"{V.SALES_KIND}_old.csv"
+    write_file(old, V.SALES_COLUMNS, sale_line(transaction_id="2"))
+    long_ago = time.time() - 400 * 86400
+    os.utime(old, (long_ago, long_ago))
+    assert run() == 2 * first

@@ -43,12 +43,17 @@ def fact_projection(sales: DataFrame) -> DataFrame:
 
 
 def one_row_per_key(df: DataFrame, key: str, fields, order=()) -> DataFrame:
-    """First row per non-null key by `order`, then by the fields themselves; nulls come first.
+    """First row per non-null key by `order`, then by the fields themselves; nulls come last.
 
     All fields come from the same row. The minimum of a struct is combined before
     the shuffle, so a key with a third of all rows sends one row per task.
     """
-    ranked = F.struct(*[F.col(name) for name in (*order, *fields)])
+    columns = [
+        column
+        for name in (*order, *fields)
+        for column in (F.col(name).isNull().alias(f"no_{name}"), F.col(name))
+    ]
+    ranked = F.struct(*columns)
     return (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
@@ -62,11 +67,17 @@ def without_key(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNull())
 
 
-_SALE_ORDER = ("sale_day", "transaction_id")
+# Sales with a readable date first; ids that are numbers in the order of numbers.
+_SALE_ORDER = ("sale_day", "sale_number", "transaction_id")
 
 
 def _with_sale_day(sales: DataFrame) -> DataFrame:
-    return sales.withColumn("sale_day", F.col("transaction_date").try_cast("date"))
+    return sales.withColumns(
+        {
+            "sale_day": F.col("transaction_date").try_cast("date"),
+            "sale_number": F.col("transaction_id").try_cast("bigint"),
+        }
+    )
 
 
 def customer_dim(sales: DataFrame) -> DataFrame:

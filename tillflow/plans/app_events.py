@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow import fixed_values as V
-from tillflow.functions.money import exact_sum
+from tillflow.functions.money import amount_sum
 
 
 def _between(events: DataFrame, start: date | None, end: date | None) -> DataFrame:
@@ -26,7 +26,7 @@ def _purchase_sums(events: DataFrame, key: str, total: str, start, end) -> DataF
         _between(events, start, end)
         .where(F.col("eventType") == V.PURCHASE_EVENT)
         .groupBy(key)
-        .agg(exact_sum(F.col("totalAmount")).cast("double").alias(total))
+        .agg(amount_sum(F.col("totalAmount")).alias(total))
     )
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.functions.money import exact_sum, to_cents
+from tillflow.functions.money import partial_sums, to_cents, total_of_sums
 
 
 def customer_purchase_behavior(fact: DataFrame, customers: DataFrame) -> DataFrame:
@@ -16,12 +16,12 @@ def customer_purchase_behavior(fact: DataFrame, customers: DataFrame) -> DataFra
     """
     return (
         fact.groupBy("customer_id", "transaction_id")
-        .agg(exact_sum(F.col("total_paid_price")).alias("paid"))
+        .agg(*partial_sums(F.col("total_paid_price")))
         .join(customers.select("customer_id", "first_name", "last_name"), "customer_id")
         .groupBy("first_name", "last_name")
         .agg(
             F.countDistinct("transaction_id").alias("total_transactions"),
-            to_cents(F.sum("paid")).alias("total_spent"),
+            total_of_sums(to_cents).alias("total_spent"),
         )
         .select(
             F.concat("first_name", F.lit(" "), "last_name").alias("Customer_Name"),
@@ -37,13 +37,13 @@ def _units_and_revenue(fact: DataFrame, products: DataFrame, name: str) -> DataF
         fact.groupBy("product_id")
         .agg(
             F.sum("units").alias("units"),
-            exact_sum(F.col("total_paid_price")).alias("paid"),
+            *partial_sums(F.col("total_paid_price")),
         )
         .join(products.select("product_id", name), "product_id")
         .groupBy(name)
         .agg(
             F.sum("units").alias("total_units_sold"),
-            to_cents(F.sum("paid")).alias("total_revenue"),
+            total_of_sums(to_cents).alias("total_revenue"),
         )
     )
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.functions.money import exact_sum
+from tillflow.functions.money import partial_sums, total_of_sums
 
 
 def most_selling_products(fact: DataFrame, products: DataFrame) -> DataFrame:
@@ -23,10 +23,10 @@ def lowest_online_cities(fact: DataFrame, customers: DataFrame) -> DataFrame:
     return (
         fact.where("is_online")
         .groupBy("customer_id")
-        .agg(exact_sum(F.col("total_paid_price")).alias("paid"))
+        .agg(*partial_sums(F.col("total_paid_price")))
         .join(customers, "customer_id")
         .groupBy("city")
-        .agg(F.sum("paid").cast("double").alias("total_online_sales"))
+        .agg(total_of_sums().alias("total_online_sales"))
         .orderBy("total_online_sales", "city")
     )
 

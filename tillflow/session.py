@@ -2,7 +2,7 @@
 
 from pyspark.sql import SparkSession
 
-# All but the time zone and the partition count are Spark's defaults; plans rely on them.
+# All but the time zone are Spark's defaults; plans rely on them.
 SETTINGS = {
     # Event times carry no zone.
     "spark.sql.session.timeZone": "UTC",
@@ -13,22 +13,26 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Start fine; the adaptive planner merges what turns out small.
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
 }
+SHUFFLE_BYTES = 128 * 1024 * 1024
 
 
-def build_session(name: str, settings: dict[str, str] | None = None) -> SparkSession:
+def partitions_for(input_bytes: int, least: int = 200) -> int:
+    """Shuffle partitions to start from: the adaptive planner merges them, but adds none."""
+    return max(least, -(-input_bytes // SHUFFLE_BYTES))
+
+
+def build_session(
+    name: str, settings: dict[str, str] | None = None, input_bytes: int | None = None
+) -> SparkSession:
     """Session with the library's settings; `settings` adds to them or overrides them.
 
-    A `spark.sql.shuffle.partitions` among `settings` is taken as the number of shuffle
-    partitions to start from.
+    `input_bytes`, the size of what the session's jobs read, sets the number of shuffle
+    partitions to start from, unless `settings` name it.
     """
     merged = {**SETTINGS, **(settings or {})}
-    if "spark.sql.shuffle.partitions" in merged:
-        merged["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = merged[
-            "spark.sql.shuffle.partitions"
-        ]
+    if input_bytes is not None:
+        merged.setdefault("spark.sql.shuffle.partitions", str(partitions_for(input_bytes)))
     builder = SparkSession.builder.appName(name)
     for key, value in merged.items():
         builder = builder.config(key, value)

@@ -22,13 +22,17 @@ def list_databases(spark: SparkSession) -> DataFrame:
 
 
 def create_fact_table(spark: SparkSession, database: str, by_load_hour: bool = False) -> str:
-    """Create the fact table, partitioned by date, or by load hour and date; returns its name."""
+    """Create the fact table, partitioned by date, or by load hour and date; returns its name.
+
+    Its own option says that an overwrite of an hour is static, whatever the session says.
+    """
     table = f"{database}.{V.FACT_TABLE}"
     columns = ", ".join(f"{name} {type_name}" for name, type_name in S.FACT_COLUMNS.items())
     partitions = [LOAD_HOUR] * by_load_hour + [S.FACT_PARTITION]
     columns += "".join(f", {name} string" for name in partitions)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet"
+        " OPTIONS (partitionOverwriteMode 'static')"
         f" PARTITIONED BY ({', '.join(partitions)})"
     )
     return table
@@ -66,8 +70,7 @@ def replace_fact_hour(fact: DataFrame, table: str, load_hour: str) -> None:
     """Write the rows of one load hour; a rerun replaces what that hour wrote before.
 
     Needs a table made with `by_load_hour`. The hour is a static partition, so dates
-    that an earlier run wrote and this one does not are removed as well (in Spark's
-    default, static, overwrite mode).
+    that an earlier run wrote and this one does not are removed as well.
     """
     rows = _grouped_by_date(fact).select(*S.FACT_COLUMNS, S.FACT_PARTITION)
     fact.sparkSession.sql(
@@ -84,7 +87,8 @@ def append_dimension(dimension: DataFrame, table: str) -> None:
     spark.catalog.refreshTable(table)
     key = dimension.columns[0]
     fresh = new_rows(dimension, spark.table(table), key)
-    fresh.write.mode("append").format("parquet").saveAsTable(table)
+    # Small partitions are merged, so an hour adds few files.
+    fresh.hint("rebalance").write.mode("append").format("parquet").saveAsTable(table)
 
 
 def register_views(frames: dict[str, DataFrame], prefix: str = "batch_") -> None:

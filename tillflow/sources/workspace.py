@@ -9,10 +9,14 @@ from pyspark.sql import SparkSession
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """Path of a new folder in the storage all executors share.
 
-    That is the folder the cluster names in `spark.checkpoint.dir`. Only where
-    it is unset, as in a local test, is a temporary folder taken.
+    That is the folder the cluster names in `spark.checkpoint.dir`. Where it is unset,
+    a temporary folder is taken in a local test; on a cluster, where executors would each
+    write to their own disk, it raises.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("on a cluster, spark.checkpoint.dir must name a shared folder")
         shared = f"file://{tempfile.mkdtemp(prefix='tillflow-')}"
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 from tillflow import schemas as S
 
 REJECT_REASON = "reject_reason"
+# A file source drops files a week older than the newest one it saw, unless told otherwise.
+ANY_AGE = "36500d"
 _RAW = "raw_value"
 _UNREADABLE = "_unreadable"
 
@@ -15,12 +17,15 @@ def event_source(spark: SparkSession, source_format: str, options: dict, path=No
     """Stream of records with a `value` column.
 
     For `kafka` the options name servers, topic and security; reading starts at
-    the earliest offset unless they say otherwise. The `text` source reads one
-    event per line from a folder.
+    the earliest offset unless they say otherwise, so give `maxOffsetsPerTrigger`
+    where the topic is long, or the first micro-batch is all of it. The `text` source
+    reads one event per line from the files of a folder, of any age.
     """
     reader = spark.readStream.format(source_format)
     if source_format == "kafka":
         reader = reader.option("startingOffsets", "earliest")
+    else:
+        reader = reader.option("maxFileAge", ANY_AGE)
     return reader.options(**options).load(path)
 
 

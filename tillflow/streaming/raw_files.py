@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow import schemas as S
+from tillflow.streaming.events import ANY_AGE
 
 INGEST_HOUR = "ingest_hour"
 INGEST_EPOCH = "ingest_epoch"
@@ -26,12 +27,15 @@ def land_raw_files(
 
     The checkpoint remembers the files taken. The zone is partitioned by the hour of
     ingestion and by epoch; the hour is the batch's own clock, which a replayed batch
-    repeats, so a replay replaces its folder. `max_files` bounds one micro-batch.
+    repeats, so a replay replaces its folder. `max_files` bounds one micro-batch. Files
+    of any age are taken. The list of files seen grows with the files, some hundred bytes
+    each: after some millions, empty the drops and start a new checkpoint.
     """
     reader = (
         spark.readStream.schema(S.raw_schema(S.RAW_COLUMNS[kind]))
         .option("header", True)
         .option("enforceSchema", False)
+        .option("maxFileAge", ANY_AGE)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
