@@ -141,7 +141,7 @@ def test_joins_of_long_unsplit_text():
     for _ in range(150):
         text = "".join(rng.choice(parts, size=60))
         ids = codec.encode(text, add_special_tokens=False).ids
-        assert [i for word in tree.encode([text])[0] for i in word] == ids
+        assert [i for word in tree.encode([text])[0] for i in word.ids] == ids
 
 
 def test_packing(spark, texts):

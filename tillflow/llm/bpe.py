@@ -20,10 +20,10 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,7 +35,6 @@ LEAF = 2048  # characters of a leaf
 WINDOW = 32  # characters on each side of a join, to start with
 LOOKAHEAD = 4  # characters behind a token that decide where it ends, as in 're and 've
 CACHED = 300_000  # words after which a worker forgets those it has not met since the last time
-_SPACE = re.compile("[\x20\x09-\x0d]+")
 _SPACES = " \t\n\v\f\r"
 
 
@@ -49,8 +48,16 @@ def tokenizer(path: str) -> Tokenizer:
     return loaded
 
 
+class Word(NamedTuple):
+    """Token ids of a word, as numbers and as decimal digits, and what they decode to."""
+
+    ids: tuple[int, ...]
+    digits: str
+    decoded: str
+
+
 class Leaf:
-    """Words of a stretch of text and their tokens, and whether it starts or ends inside a word."""
+    """Words, in UTF-8, of a stretch of text, their tokens, and whether it starts or ends in one."""
 
     __slots__ = ("words", "tokens", "open_left", "open_right")
 
@@ -127,23 +134,27 @@ class Encoder:
     def __init__(self, path: str, leaf: int = LEAF, window: int = WINDOW):
         self.codec = tokenizer(path)
         self.leaf, self.window = leaf, window
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.known: dict[bytes, Word] = {}
+        self.older: dict[bytes, Word] = {}
+        self.digits, self.strings = spellings(path)
 
-    def learn(self, words) -> dict[str, tuple[int, ...]]:
+    def word(self, ids) -> Word:
+        digits, strings = self.digits, self.strings
+        return Word(tuple(ids), " ".join([digits[i] for i in ids]), " ".join([strings[i] for i in ids]))
+
+    def learn(self, words) -> dict[bytes, Word]:
         """Tokens of all given words: a dictionary to look them up in."""
         known, missing = self.known, []
-        for word in set(words):
-            if word not in known:
-                ids = self.older.get(word)
-                if ids is None:
-                    missing.append(word)
-                else:
-                    known[word] = ids
-        for word, encoded in zip(
-            missing, self.codec.encode_batch_fast(missing, add_special_tokens=False), strict=True
-        ):
-            known[word] = tuple(encoded.ids)
+        for word in set(words).difference(known):
+            old = self.older.get(word)
+            if old is None:
+                missing.append(word)
+            else:
+                known[word] = old
+        texts = [word.decode() for word in missing]
+        found = self.codec.encode_batch_fast(texts, add_special_tokens=False)
+        for word, encoded in zip(missing, found, strict=True):
+            known[word] = self.word(encoded.ids)
         if len(known) > CACHED:
             self.known, self.older = {}, known
         return known
@@ -152,7 +163,8 @@ class Encoder:
         parts = []
         for a, b in halves(text, self.leaf):
             piece = text[a:b]
-            words = [w for w in _SPACE.split(piece) if w]
+            # Bytes are split at the six signs of ASCII white space alone.
+            words = piece.encode().split()
             inside = bool(words)
             parts.append(
                 Leaf(words, None, inside and piece[0] not in _SPACES, inside and piece[-1] not in _SPACES)
@@ -169,19 +181,19 @@ class Encoder:
         if left.open_right and right.open_left:
             a, b = words[-1], right.words[0]
             if len(a) + len(b) <= 2 * self.window:
-                ids = self.learn([a + b])[a + b]
+                mended = self.learn([a + b])[a + b]
             else:
-                ids = mend(self.codec, a, b, self.window)
+                mended = self.word(mend(self.codec, a.decode(), b.decode(), self.window))
             words = words[:-1] + [a + b] + right.words[1:]
-            tokens = tokens[:-1] + [tuple(ids)] + right.tokens[1:]
+            tokens = tokens[:-1] + [mended] + right.tokens[1:]
         else:
             words, tokens = words + right.words, tokens + right.tokens
         return Leaf(words, tokens, left.open_left, right.open_right)
 
-    def encode(self, texts: list[str]) -> list[list[tuple[int, ...]]]:
-        """Per text, the tokens of its words."""
+    def encode(self, texts: list[str]) -> list[list[Word]]:
+        """Per text, its words with their tokens."""
         trees = [self.leaves(text) for text in texts]
-        known = self.learn([w for tree in trees for leaf in tree for w in leaf.words])
+        known = self.learn(chain.from_iterable(leaf.words for tree in trees for leaf in tree))
         results = []
         for tree in trees:
             for leaf in tree:
@@ -212,13 +224,12 @@ def decode(path: str, ids) -> str:
     return " ".join(map(spellings(path)[1].__getitem__, ids))
 
 
-def _encoded(batch: pa.RecordBatch, path: str) -> Iterator[tuple[pa.Array, list[list[int]]]]:
-    """doc_id and token ids of all rows, a slice at a time."""
+def _encoded(batch: pa.RecordBatch, path: str) -> Iterator[tuple[pa.Array, list[list[Word]]]]:
+    """doc_id and the encoded words of all rows, a slice at a time."""
     text = batch.column("text")
     for start, stop in slices(text):
         texts = [t or "" for t in text.slice(start, stop - start).to_pylist()]
-        ids = [list(chain.from_iterable(tokens)) for tokens in encoder(path).encode(texts)]
-        yield batch.column("doc_id").slice(start, stop - start), ids
+        yield batch.column("doc_id").slice(start, stop - start), encoder(path).encode(texts)
 
 
 def _run(docs: DataFrame, columns: str, per_slice) -> DataFrame:
@@ -231,7 +242,8 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for doc_id, ids in _encoded(batch, path):
+            for doc_id, words in _encoded(batch, path):
+                ids = [list(chain.from_iterable(w.ids for w in row)) for row in words]
                 tokens = pa.array(ids, pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([doc_id, tokens], ["doc_id", "ids"])
 
@@ -258,14 +270,15 @@ def digest_documents(docs: DataFrame, path: str) -> DataFrame:
         return hashlib.sha256(text.encode()).hexdigest()
 
     def run(batches):
-        digits, _ = spellings(path)
         for batch in batches:
-            for doc_id, ids in _encoded(batch, path):
+            for doc_id, words in _encoded(batch, path):
+                parts = [tuple(zip(*row, strict=True)) or ((), (), ()) for row in words]
+                # A word has no token where the vocabulary drops all its signs.
                 columns = [
                     doc_id,
-                    pa.array([len(row) for row in ids], pa.int64()),
-                    pa.array([sha(" ".join(map(digits.__getitem__, row))) for row in ids]),
-                    pa.array([sha(decode(path, row)) for row in ids]),
+                    pa.array([sum(map(len, ids)) for ids, _, _ in parts], pa.int64()),
+                    pa.array([sha(" ".join(filter(None, digits))) for _, digits, _ in parts]),
+                    pa.array([sha(" ".join(filter(None, decoded))) for _, _, decoded in parts]),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
