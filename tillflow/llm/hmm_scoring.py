@@ -22,10 +22,12 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,9 +51,9 @@ _LOG10 = 1 / np.log(10)
 # Counting -----------------------------------------------------------------------------
 
 
-def words_of(text: str | None) -> list[bytes]:
+def words_of(text: bytes | None) -> list[bytes]:
     """Words of a text with A to Z in lower case; bytes split at just the six white-space signs."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return (text or b"").lower().split()
 
 
 def _emit(counts: Counter) -> pa.RecordBatch:
@@ -64,7 +66,7 @@ def _emit(counts: Counter) -> pa.RecordBatch:
 def _count(batches):
     counts: Counter = Counter()
     for batch in batches:
-        for text in batch.column("text"):
+        for text in batch.column("text").cast(pa.binary()):
             counts.update(words_of(text.as_py()))
             counts[END] += 1
             if len(counts) > FLUSH:
@@ -157,13 +159,14 @@ def _symbolised(docs: DataFrame, words: Vocabulary) -> DataFrame:
             words.symbols + ending(w) for w in words.words[words.symbols :]
         ]
         for batch in batches:
-            text = batch.column("text")
+            text = batch.column("text").cast(pa.binary())
             for a, b in slices(text):
                 columns: list[list] = [[] for _ in range(6)]
                 for item in text.slice(a, b - a):
                     tokens = words_of(item.as_py())
-                    at = np.array([place.get(w, unknown) for w in tokens] + [place.get(END, unknown)])
                     tokens.append(END)
+                    found = map(place.get, tokens, repeat(unknown))
+                    at = np.fromiter(found, np.int64, len(tokens))
                     rare = np.flatnonzero(at == unknown).tolist()
                     code = symbol[at]
                     code[rare] = [words.symbols + ending(tokens[k]) for k in rare]
@@ -243,18 +246,18 @@ class Sequences:
 
 def forward(model: Model, seqs: Sequences) -> tuple[np.ndarray, np.ndarray]:
     """Scaled state chances of every token, and the scales."""
-    states = len(model.start)
-    alpha = np.empty((len(seqs.symbols), states))
+    alpha = model.emit[seqs.symbols]
     scale = np.empty(len(seqs.symbols))
-    previous = None
-    for k, n in enumerate(seqs.running):
-        span = slice(seqs.at[k], seqs.at[k] + n)
-        ahead = model.start[None, :] if previous is None else previous[:n] @ model.step
-        now = ahead * model.emit[seqs.symbols[span]]
-        total = now.sum(axis=1)
+    ones = np.ones(len(model.start))
+    at = seqs.at.tolist()
+    ahead = model.start
+    for start, stop in zip(at[:-1], at[1:], strict=True):
+        now = alpha[start:stop]
+        now *= ahead if ahead.ndim == 1 else ahead[: stop - start] @ model.step
+        total = now @ ones
         now /= total[:, None]
-        alpha[span], scale[span] = now, total
-        previous = now
+        scale[start:stop] = total
+        ahead = now
     return alpha, scale
 
 
@@ -271,36 +274,42 @@ def log10_likelihoods(model: Model, seqs: Sequences) -> np.ndarray:
 def expected_counts(model: Model, seqs: Sequences):
     """How often each state starts, follows each state and emits each symbol, in expectation."""
     states = len(model.start)
-    alpha, scale = forward(model, seqs)
+    gamma, scale = forward(model, seqs)
+    ahead = model.emit[seqs.symbols]
+    ahead /= scale[:, None]
     follow = np.zeros((states, states))
-    gamma = alpha.copy()
-    ahead = None  # of the next step: emission times backward chance over the scale
-    for k in range(len(seqs.running) - 1, -1, -1):
-        n, span = seqs.running[k], slice(seqs.at[k], seqs.at[k] + seqs.running[k])
-        beta = np.ones((n, states))
-        if ahead is not None:
-            m = len(ahead)
-            follow += alpha[span][:m].T @ ahead
-            beta[:m] = ahead @ model.step.T
-        gamma[span] *= beta
-        ahead = model.emit[seqs.symbols[span]] * beta / scale[span][:, None]
+    at, back = seqs.at.tolist(), model.step.T.copy()
+    # From the last step but one: state chances of each token become those that know what follows,
+    # and emissions over scales are multiplied by the backward chance.
+    for k in range(len(at) - 3, -1, -1):
+        coming = ahead[at[k + 1] : at[k + 2]]
+        now = slice(at[k], at[k] + len(coming))
+        beta = coming @ back
+        follow += gamma[now].T @ coming
+        gamma[now] *= beta
+        ahead[now] *= beta
     emit = np.stack(
         [np.bincount(seqs.symbols, gamma[:, s], minlength=len(model.emit)) for s in range(states)],
         axis=1,
     )
-    first = gamma[: seqs.running[0]].sum(axis=0) if len(seqs.running) else np.zeros(states)
+    first = gamma[: at[1]].sum(axis=0) if len(at) > 1 else np.zeros(states)
     return first, follow * model.step, emit, float(np.log(scale).sum())
 
 
 def _parts(batch: pa.RecordBatch):
-    """Slices of a batch with some millions of symbols."""
-    data = [d.as_py() for d in batch.column("symbols")]
+    """The rows of a batch by length, as slices with some millions of symbols: places and symbols.
+
+    The long ones of a batch are together, so their many steps are gone through once.
+    """
+    symbols = batch.column("symbols")
+    order = np.argsort(pc.binary_length(symbols).to_numpy(), kind="stable")
+    data = [d.as_py() for d in symbols.take(pa.array(order))]
     ends = np.cumsum([len(d) for d in data])
     start = 0
     while start < len(data):
         base = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, base + SLICE // 3, side="right")))
-        yield start, stop, data[start:stop]
+        yield order[start:stop], data[start:stop]
         start = stop
 
 
@@ -317,7 +326,7 @@ def train(training: DataFrame, words: Vocabulary, states: int = STATES, rounds:
         def run(batches, shared=shared):
             total = np.zeros((size + states + 1, states))
             for batch in batches:
-                for _, _, data in _parts(batch):
+                for _, data in _parts(batch):
                     first, follow, emit, _ = expected_counts(shared.value, Sequences(data))
                     total[:size] += emit
                     total[size : size + states] += follow
@@ -363,10 +372,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for a, b, data in _parts(batch):
+            for rows, data in _parts(batch):
                 chances = log10_likelihoods(shared.value, Sequences(data))
+                own = batch.take(pa.array(rows)).columns[:-1]
                 yield pa.RecordBatch.from_arrays(
-                    [*[c.slice(a, b - a) for c in batch.columns[:-1]], pa.array(chances)],
+                    [*own, pa.array(chances)],
                     [*batch.schema.names[:-1], "chance"],
                 )
 
