@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import entry_oracle
 from tillflow import fixed_values as V
+from tillflow import jobs
 from tillflow import schemas as S
 from tillflow.functions.flags import discount_percentage, offer_flag, yes_no_flag
 from tillflow.functions.text import clean_email, split_address, trim_all
@@ -32,7 +33,7 @@ REPORT_DAY = date(1997, 2, 1)
 CUSTOMER_SPLIT = "1995-06-01"
 PRODUCT_SPLIT = "1995-02-15"
 _DROP_HOUR = datetime(2022, 1, 16, 5)
-_EVENT_FILES = 16
+COMPACTION_TIME = datetime(2024, 1, 15, 13)
 
 
 def _clean(spark, folder):
@@ -46,9 +47,9 @@ def _fact(spark, folder):
 # Cleaning -----------------------------------------------------------------
 
 
-def _write_drop(raw: DataFrame, folder: str, kind: str) -> None:
+def _write_drop(raw: DataFrame, folder: str, kind: str, number: int = 1) -> None:
     keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    raw.write.options(header=True, **keep_blanks).csv(f"{folder}/{kind}_1.csv")
+    raw.write.options(header=True, **keep_blanks).csv(f"{folder}/{kind}_{number}.csv")
 
 
 def _write_sales_drops(spark, folder, base):
@@ -65,6 +66,17 @@ def csv_sales_scan(spark, folder):
     return drops.scan_drop(spark, hour, V.SALES_KIND)
 
 
+def csv_sales_scan_mixed_headers(spark, folder):
+    """A group whose files hold the columns in another order, among others."""
+    hour = drops.hour_folder(fresh_folder(spark, "drops"), _DROP_HOUR)
+    raw = tpch.raw_sales(spark, folder)
+    online = F.col("is_online") == V.ONLINE_WORD
+    others = raw.where(~online).select(F.lit("none").alias("phone"), *reversed(raw.columns))
+    _write_drop(raw.where(online), f"{hour}/group1", V.SALES_KIND, 1)
+    _write_drop(others, f"{hour}/group1", V.SALES_KIND, 2)
+    return drops.scan_drop(spark, hour, V.SALES_KIND)
+
+
 def union_batches(spark, folder):
     raw = tpch.raw_sales(spark, folder)
     return cleaning.union_batches(raw, raw).select(
@@ -271,6 +283,19 @@ def units_by_product_name(spark, folder):
     return batch_report.units_by_product_name(star.with_paid_price(_clean(spark, folder)))
 
 
+def loaded_lowest_online_cities(spark, folder):
+    """CSV drops loaded by the hourly job, then the question put to the tables it filled."""
+    base, database = fresh_folder(spark, "drops"), _fresh_database(spark)
+    hour = drops.hour_folder(base, _DROP_HOUR)
+    _write_sales_drops(spark, folder, hour)
+    _write_drop(tpch.raw_agents(spark, folder), f"{hour}/group1", V.AGENTS_KIND)
+    _write_drop(tpch.raw_branches(spark, folder), f"{hour}/group1", V.BRANCHES_KIND)
+    jobs.load_hour(spark, base, _DROP_HOUR, database)
+    return marketing.lowest_online_cities(
+        spark.table(f"{database}.{V.FACT_TABLE}"), spark.table(f"{database}.{V.CUSTOMER_TABLE}")
+    )
+
+
 # App events -------------------------------------------------------------------
 
 
@@ -293,22 +318,33 @@ def quarantine_events(spark, folder):
 
 
 def _landed_events(spark, folder):
-    """Events, some of them junk, streamed from text files to a landed table; its path."""
+    """Events, some of them junk, streamed in two runs from text files; folder of what landed.
+
+    Each run has about half of the good events of every hour, so that an hour with two or more
+    events is landed as two files.
+    """
     base = fresh_folder(spark, "events")
-    records = tpch.event_records(spark, folder, junk=True)
-    (
-        records.repartitionByRange(_EVENT_FILES, "ts")
-        .sortWithinPartitions("ts")
-        .select("value")
-        .write.text(f"{base}/incoming")
-    )
-    source = events.event_source(
-        spark, "text", {"maxFilesPerTrigger": _EVENT_FILES // 2}, path=f"{base}/incoming"
+    parsed = events.parse_events(tpch.event_records(spark, folder, junk=True))
+    same = Window.partitionBy(*landing.PARTITIONS, F.col(events.REJECT_REASON).isNull())
+    halves = parsed.select(
+        F.col("raw_value").alias("value"),
+        (F.row_number().over(same.orderBy("raw_value")) % 2).alias("half"),
     )
-    landing.land_events(
-        source, f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", availableNow=True
-    ).awaitTermination()
-    return f"{base}/table"
+    halves.write.partitionBy("half").parquet(f"{base}/halves")
+    for half in (1, 0):
+        lines = spark.read.parquet(f"{base}/halves").where(F.col("half") == half).select("value")
+        lines.write.mode("append").text(f"{base}/incoming")
+        source = events.event_source(spark, "text", {}, path=f"{base}/incoming")
+        landing.land_events(
+            source, f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", availableNow=True
+        ).awaitTermination()
+    return base
+
+
+def _with_files(spark, path):
+    """Landed rows, each with the number of files its hour has."""
+    files = maintenance.files_per_hour(spark, path).select(*landing.PARTITIONS, "files")
+    return _landed_rows(landing.read_events(spark, path)).join(files, landing.PARTITIONS)
 
 
 def _landed_rows(rows):
@@ -316,30 +352,45 @@ def _landed_rows(rows):
 
 
 def stream_land_events(spark, folder):
-    return _landed_rows(landing.read_events(spark, _landed_events(spark, folder)))
+    return _landed_rows(landing.read_events(spark, f"{_landed_events(spark, folder)}/table"))
+
+
+def stream_land_rejects(spark, folder):
+    """The records that landing sets aside."""
+    return spark.read.parquet(f"{_landed_events(spark, folder)}/rejects").drop(S.EVENT_EPOCH)
 
 
 def compact_partition(spark, folder):
     """Compact the hour before the given time, then read the whole table."""
-    path = _landed_events(spark, folder)
-    day, hour = maintenance.closed_hour(datetime(2024, 1, 15, 13, 5))
+    path = f"{_landed_events(spark, folder)}/table"
+    day, hour = maintenance.closed_hour(COMPACTION_TIME)
     maintenance.compact_partition(spark, path, day, hour)
-    return _landed_rows(landing.read_events(spark, path))
+    return _with_files(spark, path)
 
 
 def compact_range(spark, folder):
-    path = _landed_events(spark, folder)
-    maintenance.compact_range(spark, path, date(2024, 1, 1), date(2025, 1, 1))
-    return _landed_rows(landing.read_events(spark, path))
+    path = f"{_landed_events(spark, folder)}/table"
+    maintenance.compact_range(
+        spark, path, date(2024, 1, 1), date(2025, 1, 1), closed_before=COMPACTION_TIME
+    )
+    return _with_files(spark, path)
 
 
 def repair_partitions(spark, folder):
-    path = _landed_events(spark, folder)
     table = f"{_fresh_database(spark)}.app_events"
-    maintenance.create_event_table(spark, table, path)
+    maintenance.create_event_table(spark, table, f"{_landed_events(spark, folder)}/table")
     return _landed_rows(maintenance.repair_partitions(spark, table))
 
 
+def landed_popular_categories(spark, folder):
+    """JSON records landed, their hours registered by name, then the question put to the table."""
+    path = f"{_landed_events(spark, folder)}/table"
+    table = f"{_fresh_database(spark)}.app_events"
+    maintenance.create_event_table(spark, table, path)
+    maintenance.register_hours(spark, table, landing.read_events(spark, path))
+    return app_events.popular_categories(spark.table(table))
+
+
 def incremental_landing(spark, folder):
     """Land the drops of two groups, some files at a time, then run again with nothing new."""
     base = fresh_folder(spark, "landing")
@@ -365,6 +416,7 @@ def _on_events(query):
 
 _QUERIES = {
     "csv_sales_scan": csv_sales_scan,
+    "csv_sales_scan_mixed_headers": csv_sales_scan_mixed_headers,
     "union_batches": union_batches,
     "dedup_rows": dedup_rows,
     "trim_all": trimmed,
@@ -387,6 +439,7 @@ _QUERIES = {
     "table_sample": sample,
     "most_selling_products": most_selling_products,
     "lowest_online_cities": lowest_online_cities,
+    "loaded_lowest_online_cities": loaded_lowest_online_cities,
     "most_redeemed_offers": most_redeemed_offers,
     "top_offers_per_product": top_offers_per_product,
     "daily_sales_dump": daily_sales_dump,
@@ -400,6 +453,8 @@ _QUERIES = {
     "event_time_parts": event_time_parts,
     "quarantine_events": quarantine_events,
     "stream_land_events": stream_land_events,
+    "stream_land_rejects": stream_land_rejects,
+    "landed_popular_categories": landed_popular_categories,
     "compact_partition": compact_partition,
     "compact_range": compact_range,
     "repair_partitions": repair_partitions,
@@ -410,7 +465,9 @@ _QUERIES = {
 }
 
 
-_SQL = entry_oracle.build(REPORT_DAY.isoformat(), CUSTOMER_SPLIT, PRODUCT_SPLIT)
+_SQL = entry_oracle.build(
+    REPORT_DAY.isoformat(), CUSTOMER_SPLIT, PRODUCT_SPLIT, COMPACTION_TIME
+)
 
 if llm is not None:
     _QUERIES |= llm.QUERIES

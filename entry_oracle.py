@@ -1,5 +1,7 @@
 """The same results as the Spark queries, in SQL for DuckDB."""
 
+from datetime import timedelta
+
 _RAW = """
 raw AS (
   SELECT cast(l_orderkey AS varchar) AS transaction_id,
@@ -162,6 +164,14 @@ flat AS (
 _GOOD_EVENTS = f"""WITH {_EVENTS}
 SELECT * FROM flat WHERE "eventType" NOT IN ('error', 'signup')"""
 
+_REJECTS = f"""WITH {_EVENTS}
+SELECT '{{"eventType":"' || "eventType" || '","customerId":"' || "customerId" || '"'
+  || CASE WHEN "eventType" = 'error' THEN ''
+     ELSE ',"productId":"' || "productId" || '","timestamp":"some day","metadata":{{}}}}' END
+    AS raw_value,
+  CASE "eventType" WHEN 'error' THEN 'unreadable' ELSE 'no event time' END AS reject_reason
+FROM flat WHERE "eventType" IN ('error', 'signup')"""
+
 _PAID = "cast(sum(paid_units) AS bigint)"
 _CENTS = f"cast(({_PAID} + 50) // 100 AS bigint) / 100.0"
 _AMOUNT = 'cast(sum(cast(round("totalAmount" * 100) AS bigint)) AS bigint) / 100.0'
@@ -186,8 +196,19 @@ SELECT s_name AS sales_agent_name, p_name AS product_name,
 FROM star WHERE day = DATE '{day}' GROUP BY s_name, p_name"""
 
 
-def build(report_day: str, customer_split: str, product_split: str) -> dict[str, str]:
-    """SQL per query name, for the given report day and batch borders."""
+def _with_files(compacted):
+    """Good events with the files of their hour: landed as two, where it has two events or more."""
+    return f"""WITH {_EVENTS}, good AS (
+  SELECT * FROM flat WHERE "eventType" NOT IN ('error', 'signup')
+)
+SELECT *, CASE WHEN {compacted} THEN 1
+  ELSE least(2, count(*) OVER (PARTITION BY event_date, event_hour)) END AS files
+FROM good"""
+
+
+def build(report_day: str, customer_split: str, product_split: str, compaction) -> dict[str, str]:
+    """SQL per query name, for the given report day, batch borders and time of a compaction."""
+    closed = compaction - timedelta(hours=1)
     daily = f"WITH {_STAR}" + _DAILY.format(day=report_day)
     raw_trimmed = ", ".join(
         f"trim({name}) AS {name}"
@@ -201,6 +222,7 @@ def build(report_day: str, customer_split: str, product_split: str) -> dict[str,
     return {
         "csv_sales_scan": f"WITH {_RAW} SELECT * FROM raw",
         "incremental_landing": f"WITH {_RAW} SELECT * FROM raw",
+        "csv_sales_scan_mixed_headers": f"WITH {_RAW} SELECT * FROM raw",
         "union_batches": f"""WITH {_RAW}
 SELECT transaction_id, product_id, sales_agent_id, units FROM raw
 UNION ALL SELECT transaction_id, product_id, sales_agent_id, units FROM raw""",
@@ -246,6 +268,10 @@ FROM star GROUP BY product_id, p_name""",
 SELECT n_name AS city,
   {_PAID} / 10000.0 AS total_online_sales
 FROM star WHERE is_online GROUP BY n_name""",
+        "loaded_lowest_online_cities": f"""WITH {_FACT}, customers AS ({_customers()})
+SELECT city, cast(sum(cast(round(unit_price * 100) AS bigint) * units
+  * cast(100 - discount_percentage AS bigint)) AS bigint) / 10000.0 AS total_online_sales
+FROM fact JOIN customers USING (customer_id) WHERE is_online GROUP BY city""",
         "most_redeemed_offers": f"""WITH {_STAR}
 SELECT discount_percentage, count(*) AS number_of_sales FROM star GROUP BY 1""",
         "top_offers_per_product": f"""WITH {_STAR}
@@ -269,16 +295,16 @@ FROM clean GROUP BY product_name""",
         "parse_event_json": f"WITH {_EVENTS} SELECT * FROM flat",
         "event_time_parts": f"""WITH {_EVENTS}
 SELECT "customerId", "timestamp", event_date, event_hour FROM flat""",
-        "quarantine_events": f"""WITH {_EVENTS}
-SELECT '{{"eventType":"' || "eventType" || '","customerId":"' || "customerId" || '"'
-  || CASE WHEN "eventType" = 'error' THEN ''
-     ELSE ',"productId":"' || "productId" || '","timestamp":"some day","metadata":{{}}}}' END
-    AS raw_value,
-  CASE "eventType" WHEN 'error' THEN 'unreadable' ELSE 'no event time' END AS reject_reason
-FROM flat WHERE "eventType" IN ('error', 'signup')""",
+        "quarantine_events": _REJECTS,
+        "stream_land_rejects": _REJECTS,
         "stream_land_events": _GOOD_EVENTS,
-        "compact_partition": _GOOD_EVENTS,
-        "compact_range": _GOOD_EVENTS,
+        "compact_partition": _with_files(
+            f"event_date = DATE '{closed:%Y-%m-%d}' AND event_hour = {closed.hour}"
+        ),
+        "compact_range": _with_files(f"\"timestamp\" < TIMESTAMP '{compaction}'"),
+        "landed_popular_categories": f"""WITH {_EVENTS}
+SELECT category, count(*) AS total_events FROM flat
+WHERE "eventType" NOT IN ('error', 'signup') GROUP BY category""",
         "repair_partitions": _GOOD_EVENTS,
         "sales_by_payment_method": _purchases('"paymentMethod"', "total_sales"),
         "popular_categories": f"""WITH {_EVENTS}

@@ -84,10 +84,34 @@ def test_scan_selects_by_name_from_files_with_more_columns(spark, tmp_path):
     assert [tuple(row) for row in agents.collect()] == [("5", "Bob")]
 
 
-def test_a_file_with_another_header_raises_rather_than_shifting_values(spark, tmp_path):
+def test_a_file_unlike_the_given_header_raises_rather_than_shifting_values(spark, tmp_path):
     write_file(tmp_path / "g" / f"{V.AGENTS_KIND}_1.csv", ("name", "sales_person_id"), ["Bob", "5"])
     with pytest.raises(Exception, match="(?i)header"):
-        drops.scan_drop(spark, str(tmp_path), V.AGENTS_KIND).collect()
+        drops.scan_drop(spark, str(tmp_path), V.AGENTS_KIND, V.AGENT_COLUMNS).collect()
+
+
+def test_files_of_one_drop_may_differ_in_their_headers(spark, tmp_path):
+    write_file(tmp_path / "g 1" / f"{V.AGENTS_KIND}_1.csv", V.AGENT_COLUMNS, ["5", "Bob"])
+    write_file(tmp_path / "g 1" / f"{V.AGENTS_KIND}_2.csv", ("name", "x", V.AGENT_COLUMNS[0]), ["Ann", "y", "6"])
+    (tmp_path / "g 1" / f"{V.AGENTS_KIND}_3.csv").write_text("")
+    agents = drops.scan_drop(spark, str(tmp_path), V.AGENTS_KIND)
+    assert sorted(tuple(row) for row in agents.collect()) == [("5", "Bob"), ("6", "Ann")]
+    write_file(tmp_path / "g 1" / f"{V.AGENTS_KIND}_4.csv", ("name", "x"), ["Eve", "y"])
+    with pytest.raises(ValueError, match="_4.csv"):
+        drops.scan_drop(spark, str(tmp_path), V.AGENTS_KIND)
+
+
+def test_rows_without_a_key_are_kept_aside(spark, tmp_path, database):
+    write_drops(tmp_path)
+    jobs.load_hour(spark, str(tmp_path), HOUR, database)
+    before = spark.table(f"{database}.{jobs.KEYLESS_TABLE}").count()
+    hour = Path(drops.hour_folder(str(tmp_path), HOUR))
+    write_file(hour / "g9" / f"{V.AGENTS_KIND}_1.csv", V.AGENT_COLUMNS, ["", "Nobody"])
+    jobs.load_hour(spark, str(tmp_path), HOUR, database)
+    rows = spark.table(f"{database}.{jobs.KEYLESS_TABLE}")
+    assert rows.count() == before + 1
+    (row,) = rows.where(F.col("dimension") == V.AGENT_TABLE).collect()
+    assert "Nobody" in row.fields
 
 
 def test_batch_load_end_to_end(spark, tmp_path, database):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from test_loading import sale_line, write_file
 
 from tillflow import fixed_values as V
+from tillflow import jobs
 from tillflow import schemas as S
 from tillflow.operators import maintenance
 from tillflow.sources import tables
@@ -225,6 +226,90 @@ def test_compaction_keeps_large_hours_in_several_files(stream):
     assert stream.read().count() == 4
 
 
+@pytest.mark.parametrize("late", [False, True])
+def test_a_swap_cut_off_half_way_loses_no_row(stream, monkeypatch, late):
+    for number in range(2):
+        stream.drop(f"f{number}", {**PURCHASE, "totalAmount": float(number)}, VIEW)
+        stream.run()
+    spark, day = stream.spark, date(2024, 1, 1)
+    swap = maintenance._swap
+
+    def cut_off(spark, path, staged):
+        for file in files_of(stream, 23):
+            file.unlink()
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(maintenance, "_swap", cut_off)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        maintenance.compact_range(spark, stream.table, day, date(2024, 1, 2))
+    assert amounts(stream) == [0.0, 0.0]
+    monkeypatch.setattr(maintenance, "_swap", swap)
+    if late:
+        stream.drop("late", {**PURCHASE, "totalAmount": 9.0})
+        stream.run()
+    assert maintenance.finish_compaction(spark, stream.table)
+    assert amounts(stream) == [0.0, 0.0, 0.0, 1.0] + [9.0] * late
+    assert not maintenance.finish_compaction(spark, stream.table)
+    assert len(files_of(stream, 23)) == 1
+
+
+def test_compaction_skips_hours_that_are_one_file_or_open(stream):
+    early = {**VIEW, "timestamp": "2024-01-01T04:00:00"}
+    for number in range(2):
+        stream.drop(f"f{number}", VIEW, PURCHASE, *[early] * (number == 0))
+        stream.run()
+    (kept,) = files_of(stream, 4)
+    day, spark = date(2024, 1, 1), stream.spark
+    now = datetime(2024, 1, 1, 23, 10)
+    done = maintenance.compact_range(
+        spark, stream.table, day, date(2024, 1, 2), closed_before=now.replace(minute=0)
+    )
+    assert [tuple(row) for row in done.collect()] == [(day, 5)]
+    assert files_of(stream, 4) == [kept]
+    assert (len(files_of(stream, 5)), len(files_of(stream, 23))) == (1, 2)
+    assert maintenance.compact_range(spark, stream.table, day, day) is None
+
+
+def test_a_micro_batch_leaves_one_file_per_hour(stream):
+    for number in range(6):
+        stream.drop(f"f{number}", VIEW, PURCHASE)
+    stream.run()
+    assert (len(files_of(stream, 5)), len(files_of(stream, 23))) == (1, 1)
+
+
+def test_hourly_upkeep_compacts_closed_hours_and_then_registers_them(spark, stream):
+    for number in range(2):
+        stream.drop(f"f{number}", VIEW, PURCHASE)
+        stream.run()
+    tables.create_database(spark, "app")
+    table = f"app.upkeep_{stream.base.name.replace('-', '_')}"
+    maintenance.create_event_table(spark, table, stream.table)
+    jobs.upkeep_events(spark, table, stream.table, datetime(2024, 1, 1, 23, 10), days_back=1)
+    assert (len(files_of(stream, 5)), len(files_of(stream, 23))) == (1, 2)
+    assert spark.table(table).count() == 4
+
+
+def test_a_file_with_another_header_does_not_stop_the_landing(spark, tmp_path):
+    folder, zone = tmp_path / "drops" / "g", str(tmp_path / "zone")
+    known, more = V.AGENT_COLUMNS, ("phone", *reversed(V.AGENT_COLUMNS))
+    write_file(folder / f"{V.AGENTS_KIND}_1.csv", known, [f"{c} 1" for c in known])
+    write_file(folder / f"{V.AGENTS_KIND}_2.csv", more, [f"{c} 2" for c in more])
+    write_file(folder / f"{V.AGENTS_KIND}_3.csv", known[:1], ["5"])
+    raw_files.land_raw_files(
+        spark,
+        str(tmp_path / "drops"),
+        V.AGENTS_KIND,
+        zone,
+        str(tmp_path / "checkpoint"),
+        availableNow=True,
+    ).awaitTermination()
+    rows = raw_files.read_raw_zone(spark, zone, V.AGENTS_KIND).select(*known).collect()
+    assert sorted(map(tuple, rows)) == [tuple(f"{c} {n}" for c in known) for n in (1, 2)]
+    (aside,) = spark.read.parquet(raw_files.set_aside_folder(zone)).collect()
+    assert aside.source_file.endswith("_3.csv")
+    assert aside.missing == ", ".join(known[1:])
+
+
 def test_compaction_before_anything_landed_does_nothing(spark, tmp_path):
     path = str(tmp_path / "none")
     assert maintenance.compact_partition(spark, path, date(2024, 1, 1), 5) is False

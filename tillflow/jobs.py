@@ -1,15 +1,20 @@
 """Jobs a scheduler would call; times come in as arguments."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillflow import fixed_values as V
-from tillflow.operators import cleaning, star
+from tillflow import schemas as S
+from tillflow.operators import cleaning, maintenance, star
 from tillflow.plans.b2b import daily_report_order, daily_sales_dump
 from tillflow.sources import tables
 from tillflow.sources.drops import hour_folder, scan_drop
 from tillflow.sources.reports import write_csv_report
+from tillflow.sources.tables import KEYLESS_TABLE as KEYLESS_TABLE
+from tillflow.sources.workspace import fresh_folder, remove_folder
 from tillflow.streaming.raw_files import land_raw_files, read_raw_zone
 
 _KINDS = (V.SALES_KIND, V.AGENTS_KIND, V.BRANCHES_KIND)
@@ -26,28 +31,39 @@ def load_batch(
     """Clean one batch and load it into the fact and the four dimensions.
 
     With `load_hour` a rerun replaces the hour's facts, without it facts are appended.
-    The cleaned batch feeds three tables and is kept for them, on disk where memory ends.
+    The cleaned batch feeds several tables: it is written once to a folder all executors share,
+    which is removed at the end. Rows that enter no dimension, as they have no key, are kept in
+    a table of their own.
     """
-    clean = cleaning.clean_sales(sales).persist()
+    folder = fresh_folder(spark, "clean-sales")
     try:
+        cleaning.clean_sales(sales).write.parquet(folder)
+        clean = spark.read.parquet(folder)
         fact = star.fact_projection(clean)
         fact_table = tables.create_fact_table(spark, database, by_load_hour=load_hour is not None)
         if load_hour is None:
             tables.append_fact(fact, fact_table)
         else:
             tables.replace_fact_hour(fact, fact_table, load_hour)
-        dimensions = {
-            V.CUSTOMER_TABLE: star.customer_dim(clean),
-            V.PRODUCT_TABLE: star.product_dim(clean),
-            V.AGENT_TABLE: star.sales_agent_dim(cleaning.clean_agents(agents)),
-            V.BRANCH_TABLE: star.branch_dim(cleaning.clean_branches(branches)),
+        sources = {
+            V.CUSTOMER_TABLE: (clean, star.customer_dim),
+            V.PRODUCT_TABLE: (clean, star.product_dim),
+            V.AGENT_TABLE: (cleaning.clean_agents(agents), star.sales_agent_dim),
+            V.BRANCH_TABLE: (cleaning.clean_branches(branches), star.branch_dim),
         }
-        for name, dimension in dimensions.items():
+        for name, (rows, dimension) in sources.items():
             tables.append_dimension(
-                dimension, tables.create_dimension_table(spark, database, name)
+                dimension(rows), tables.create_dimension_table(spark, database, name)
             )
+        keyless = [
+            star.without_key(rows, S.DIMENSION_COLUMNS[name][0]).select(
+                F.lit(name).alias("dimension"), F.to_json(F.struct("*")).alias("fields")
+            )
+            for name, (rows, _) in sources.items()
+        ]
+        tables.keep_keyless(reduce(DataFrame.unionByName, keyless), database, load_hour)
     finally:
-        clean.unpersist()
+        remove_folder(spark, folder)
 
 
 def load_hour(spark: SparkSession, base: str, run_hour: datetime, database: str) -> None:
@@ -90,3 +106,22 @@ def daily_report(spark: SparkSession, database: str, day: date, folder: str) ->
     path = f"{folder.rstrip('/')}/sales_data_{day.year}-{day.month}-{day.day}"
     write_csv_report(report, path, *daily_report_order())
     return path
+
+
+def upkeep_events(
+    spark: SparkSession, table: str, path: str, now: datetime, days_back: int = 2, lag_hours: int = 1
+) -> None:
+    """Hourly upkeep of landed events: compact the hours that are over, then register hours.
+
+    Looks at the hours of the last `days_back` days that ended `lag_hours - 1` hours ago or
+    earlier; late events scatter older hours again, which a longer look back takes up. Hours
+    are registered after their swap, so that the table never lists a file that is gone.
+    """
+    day, hour = maintenance.closed_hour(now, lag_hours)
+    open_from = datetime(day.year, day.month, day.day, hour) + timedelta(hours=1)
+    start, end = day - timedelta(days=days_back), day + timedelta(days=1)
+    maintenance.compact_range(spark, path, start, end, closed_before=open_from)
+    maintenance.register_hours(
+        spark, table, maintenance.landed_hours(spark, path, start, now.date() + timedelta(days=1))
+    )
+    spark.catalog.refreshTable(table)

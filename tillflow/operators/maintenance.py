@@ -10,14 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow import schemas as S
+from tillflow.sources.workspace import file_system, remove_folder
 from tillflow.streaming.landing import (
     PARTITIONS,
+    by_hour,
     read_events,
     read_events_if_any,
     table_schema,
 )
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+_FINISHED = "_SUCCESS"
 
 
 def closed_hour(now: datetime, lag_hours: int = 1) -> tuple[date, int]:
@@ -26,15 +29,112 @@ def closed_hour(now: datetime, lag_hours: int = 1) -> tuple[date, int]:
     return hour.date(), hour.hour
 
 
-def _overwrite(rows: DataFrame, path: str) -> None:
+def stage_folder(path: str) -> str:
+    """Where hours of the table at `path` wait for their swap: beside it, in the same storage."""
+    return f"{path.rstrip('/')}_compacting"
+
+
+def _finished_stages(spark: SparkSession, stage: str) -> list[str]:
+    """Stages that were written to their end, oldest first; there are two at most."""
+    system, place = file_system(spark, stage)
+    if not system.exists(place):
+        return []
+    found = sorted(int(entry.getPath().getName()) for entry in system.listStatus(place))
+    stages = [f"{stage}/{number}" for number in found]
+    return [s for s in stages if system.exists(file_system(spark, f"{s}/{_FINISHED}")[1])]
+
+
+def _discard(spark: SparkSession, stage: str) -> None:
+    """Remove stages, the marks of finished ones first, so that no half-removed one counts."""
+    for finished in _finished_stages(spark, stage):
+        system, mark = file_system(spark, f"{finished}/{_FINISHED}")
+        system.delete(mark, False)
+    remove_folder(spark, stage)
+
+
+def _write_hours(rows: DataFrame, path: str, **options) -> None:
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .options(**options)
         .partitionBy(*PARTITIONS)
         .parquet(path)
     )
 
 
+def _per_hour(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(PARTITIONS).agg(F.count("*").alias("rows"))
+
+
+def _swap(spark: SparkSession, path: str, staged: str) -> None:
+    """Move staged hours to the place of the table's; those not moved yet stay in the stage.
+
+    Folders are renamed, no row is written a second time.
+    """
+    system, root = file_system(spark, staged)
+    for day in system.listStatus(root):
+        if not day.isDirectory():
+            continue
+        for hour in system.listStatus(day.getPath()):
+            name = f"{day.getPath().getName()}/{hour.getPath().getName()}"
+            _, target = file_system(spark, f"{path.rstrip('/')}/{name}")
+            system.delete(target, True)
+            system.mkdirs(target.getParent())
+            if not system.rename(hour.getPath(), target):
+                raise RuntimeError(f"{name} could not be moved; the next run moves it")
+    _discard(spark, stage_folder(path))
+
+
+def finish_compaction(spark: SparkSession, path: str) -> bool:
+    """Finish a swap that an earlier run left half done; True if there was one.
+
+    Rows that came to a staged hour after it was staged, known by their epoch, are joined to
+    the stage first, in a stage of their own, so no crash loses them.
+    """
+    stages = _finished_stages(spark, stage_folder(path))
+    if not stages:
+        # What is left of a stage that was not written to its end is written anew.
+        return False
+    staged = read_events(spark, stages[-1])
+    stored = read_events_if_any(spark, path)
+    if stored is not None:
+        came_later = stored.join(staged.select(PARTITIONS).distinct(), PARTITIONS, "left_semi").join(
+            staged.select(*PARTITIONS, S.EVENT_EPOCH).distinct(),
+            [*PARTITIONS, S.EVENT_EPOCH],
+            "left_anti",
+        )
+        if not came_later.isEmpty():
+            number = int(stages[-1].rsplit("/", 1)[1]) + 1
+            stages.append(f"{stage_folder(path)}/{number}")
+            _write_hours(by_hour(staged.unionByName(came_later)), stages[-1])
+    _swap(spark, path, stages[-1])
+    return True
+
+
+def _rewrite(spark: SparkSession, path: str, hours: DataFrame, laid_out: DataFrame) -> None:
+    """Stage hours in their new layout, compare row counts, swap."""
+    staged = f"{stage_folder(path)}/1"
+    _write_hours(laid_out, staged)
+    before, after = _per_hour(hours), _per_hour(read_events(spark, staged))
+    if not before.exceptAll(after).isEmpty() or not after.exceptAll(before).isEmpty():
+        _discard(spark, stage_folder(path))
+        raise RuntimeError(f"hours of {path} changed while they were compacted; nothing was swapped")
+    _swap(spark, path, staged)
+
+
+def files_per_hour(spark: SparkSession, path: str) -> DataFrame:
+    """event_date, event_hour, rows, files and bytes of every landed hour."""
+    per_file = (
+        read_events(spark, path)
+        .groupBy(*PARTITIONS, "_metadata.file_path", "_metadata.file_size")
+        .agg(F.count("*").alias("rows"))
+    )
+    return per_file.groupBy(PARTITIONS).agg(
+        F.sum("rows").alias("rows"),
+        F.count("*").alias("files"),
+        F.sum("file_size").alias("bytes"),
+    )
+
+
 def compact_partition(
     spark: SparkSession,
     path: str,
@@ -45,8 +145,11 @@ def compact_partition(
     """Rewrite one hour as few files; True if it was rewritten, False if there was no need.
 
     The number of files follows from the bytes stored, one for a small hour. Scan
-    splits are merged where they are read, so the rewrite needs no shuffle.
+    splits are merged where they are read, so staging needs no shuffle. The hour is staged
+    beside the table, its rows counted, then swapped; a swap that was cut off is finished
+    by the next run from the stage.
     """
+    finish_compaction(spark, path)
     stored = read_events_if_any(spark, path)
     if stored is None:
         return False
@@ -62,20 +165,63 @@ def compact_partition(
     wanted = -(-(size or 0) // target_file_bytes)
     if files <= wanted:
         return False
-    _overwrite(hour.coalesce(wanted), path)
+    _rewrite(spark, path, hour, hour.coalesce(wanted))
     return True
 
 
-def compact_range(spark: SparkSession, path: str, start: date, end: date) -> None:
-    """Rewrite all hours of the dates [start, end) in one job, each as few files.
+def compact_range(
+    spark: SparkSession,
+    path: str,
+    start: date,
+    end: date,
+    closed_before: datetime | None = None,
+    target_file_bytes: int = TARGET_FILE_BYTES,
+) -> DataFrame | None:
+    """Rewrite hours of the dates [start, end) in one job, each as few files; returns those hours.
 
-    As a rebalance by hour: small hours share a task, an hour with a third of all
-    rows is split over tasks by the adaptive planner, by its advisory partition size.
+    Hours that are as few files as their bytes need already are left alone, and so are, with
+    `closed_before`, hours that begin at that time or later. None if there was nothing to do.
+    As a rebalance by hour: small hours share a task, an hour with a third of all rows is split
+    over tasks by the adaptive planner, by its advisory partition size.
     """
-    hours = read_events(spark, path).where(
+    finish_compaction(spark, path)
+    if read_events_if_any(spark, path) is None:
+        return None
+    wanted = F.ceil(F.col("bytes") / target_file_bytes)
+    in_range = (F.col("event_date") >= F.lit(start)) & (F.col("event_date") < F.lit(end))
+    if closed_before is not None:
+        last, hour = F.lit(closed_before.date()), closed_before.hour
+        in_range &= (F.col("event_date") < last) | (
+            (F.col("event_date") == last) & (F.col("event_hour") < hour)
+        )
+    # A row per hour: kept as rows of the driver, as the swap changes the files they count.
+    scattered = files_per_hour(spark, path).where(in_range & (F.col("files") > wanted))
+    todo = scattered.select(PARTITIONS).collect()
+    if not todo:
+        return None
+    done = spark.createDataFrame(todo, "event_date date, event_hour int")
+    hours = read_events(spark, path).where(in_range).join(done, PARTITIONS, "left_semi")
+    _rewrite(spark, path, hours, by_hour(hours))
+    return done
+
+
+def landed_hours(spark: SparkSession, path: str, start: date, end: date) -> DataFrame:
+    """Hours of the dates [start, end) that have rows; no column of a file is read."""
+    hours = read_events(spark, path).select(PARTITIONS)
+    return hours.where(
         (F.col("event_date") >= F.lit(start)) & (F.col("event_date") < F.lit(end))
-    )
-    _overwrite(hours.hint("rebalance", *PARTITIONS), path)
+    ).distinct()
+
+
+def register_hours(spark: SparkSession, table: str, hours: DataFrame) -> None:
+    """Make these hours of a table visible by name, without listing its other folders."""
+    rows = hours.select(PARTITIONS).where("event_date IS NOT NULL").distinct().collect()
+    if rows:
+        parts = " ".join(
+            f"PARTITION (event_date = '{row.event_date.isoformat()}', event_hour = {row.event_hour})"
+            for row in rows
+        )
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
 
 
 def create_event_table(spark: SparkSession, table: str, path: str) -> None:
@@ -90,6 +236,9 @@ def create_event_table(spark: SparkSession, table: str, path: str) -> None:
 
 
 def repair_partitions(spark: SparkSession, table: str) -> DataFrame:
-    """Make new partition folders of a table visible; returns the table."""
+    """Make all partition folders of a table visible; returns the table.
+
+    Lists the whole table: a repair tool. `register_hours` adds those just landed.
+    """
     spark.sql(f"MSCK REPAIR TABLE {table}")
     return spark.table(table)

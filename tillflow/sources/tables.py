@@ -8,6 +8,8 @@ from tillflow import schemas as S
 from tillflow.operators.star import new_rows
 
 LOAD_HOUR = "load_hour"
+KEYLESS_TABLE = "rows_without_key"
+_NO_HOUR = "appended"
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -91,6 +93,25 @@ def append_dimension(dimension: DataFrame, table: str) -> None:
     fresh.hint("rebalance").write.mode("append").format("parquet").saveAsTable(table)
 
 
+def keep_keyless(rows: DataFrame, database: str, load_hour: str | None) -> None:
+    """Keep rows (dimension, fields) that no dimension can hold, by load hour.
+
+    A rerun of an hour replaces its rows; without an hour, rows are appended.
+    """
+    spark = rows.sparkSession
+    table = f"{database}.{KEYLESS_TABLE}"
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} (dimension string, fields string, {LOAD_HOUR} string)"
+        f" USING parquet PARTITIONED BY ({LOAD_HOUR})"
+    )
+    verb, hour = ("INTO", _NO_HOUR) if load_hour is None else ("OVERWRITE TABLE", load_hour)
+    spark.sql(
+        f"INSERT {verb} {table} PARTITION ({LOAD_HOUR} = '{hour}')"
+        " SELECT dimension, fields FROM {rows}",
+        rows=rows.hint("rebalance"),
+    )
+
+
 def register_views(frames: dict[str, DataFrame], prefix: str = "batch_") -> None:
     """Make frames of one batch queryable as `<prefix><name>`, apart from the stored tables."""
     for name, frame in frames.items():

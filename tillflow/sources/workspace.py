@@ -20,3 +20,15 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
             raise RuntimeError("on a cluster, spark.checkpoint.dir must name a shared folder")
         shared = f"file://{tempfile.mkdtemp(prefix='tillflow-')}"
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as that knows it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a job's own folder, if it is there."""
+    system, place = file_system(spark, path)
+    system.delete(place, True)

@@ -38,6 +38,11 @@ def read_events_if_any(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def by_hour(rows: DataFrame) -> DataFrame:
+    """Bring rows of one hour together, so that an hour gets few files; hot hours are split."""
+    return rows.hint("rebalance", *PARTITIONS)
+
+
 def _write(rows: DataFrame, path: str, mode: str, partitions) -> None:
     (
         rows.write.mode(mode)
@@ -50,21 +55,22 @@ def _write(rows: DataFrame, path: str, mode: str, partitions) -> None:
 def _stored_hours_of_epoch(rows: DataFrame, path: str, epoch: str) -> DataFrame | None:
     """Hours in which an earlier attempt at this epoch left rows; None when there are none.
 
-    Looks only at the dates of the batch, and skips other epochs' files by their statistics.
+    Looks only into the batch's own hours, so one very late event adds one hour to the search.
     """
-    first, last = rows.agg(F.min("event_date"), F.max("event_date")).first()
-    if first is None:
-        return None
     stored = read_events_if_any(rows.sparkSession, path)
     if stored is None:
         return None
-    hours = (
-        stored.where(F.col("event_date").between(F.lit(first), F.lit(last)))
-        .where(F.col(S.EVENT_EPOCH) == epoch)
+    hours = _epoch_in_hours(stored, rows.select(PARTITIONS).distinct(), epoch)
+    return None if hours.isEmpty() else hours
+
+
+def _epoch_in_hours(stored: DataFrame, hours: DataFrame, epoch: str) -> DataFrame:
+    return (
+        stored.where(F.col(S.EVENT_EPOCH) == epoch)
+        .join(hours, PARTITIONS, "left_semi")
         .select(PARTITIONS)
         .distinct()
     )
-    return None if hours.isEmpty() else hours
 
 
 def land_epoch(events: DataFrame, path: str, epoch: str, may_be_replay: bool) -> None:
@@ -72,13 +78,13 @@ def land_epoch(events: DataFrame, path: str, epoch: str, may_be_replay: bool) ->
     rows = events.withColumn(S.EVENT_EPOCH, F.lit(epoch))
     hours = _stored_hours_of_epoch(rows, path, epoch) if may_be_replay else None
     if hours is None:
-        _write(rows, path, "append", PARTITIONS)
+        _write(by_hour(rows), path, "append", PARTITIONS)
         return
     others = read_events(events.sparkSession, path).where(F.col(S.EVENT_EPOCH) != epoch)
     whole_hours = others.unionByName(rows).join(hours, PARTITIONS, "left_semi")
     # New hours first: should the job die in between, the next attempt finds them all.
-    _write(rows.join(hours, PARTITIONS, "left_anti"), path, "append", PARTITIONS)
-    _write(whole_hours, path, "overwrite", PARTITIONS)
+    _write(by_hour(rows.join(hours, PARTITIONS, "left_anti")), path, "append", PARTITIONS)
+    _write(by_hour(whole_hours), path, "overwrite", PARTITIONS)
 
 
 def land_events(
@@ -88,7 +94,8 @@ def land_events(
 
     `trigger` is passed to the writer, e.g. `availableNow=True` for a job that ends;
     without it the query runs until stopped. Records that cannot be decoded are kept
-    under `rejects_path`, by epoch. No shuffle: each task writes what it reads.
+    under `rejects_path`, by epoch. The rows of a micro-batch are brought together by
+    hour, which shuffles them once; what a micro-batch reads at most is an option of the source.
     """
     spark = records.sparkSession
     run = {"stream": None}

@@ -5,13 +5,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow import schemas as S
+from tillflow.sources.drops import SOURCE_FILE, scan_files
 from tillflow.streaming.events import ANY_AGE
 
 INGEST_HOUR = "ingest_hour"
 INGEST_EPOCH = "ingest_epoch"
-SOURCE_FILE = "source_file"
 # Folder names of the raw zone.
 INGEST_HOUR_PATTERN = "yyyy-MM-dd-HH"
+_FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def set_aside_folder(zone: str) -> str:
+    """Where the names of files that could not be landed are kept, with the columns they lack."""
+    return f"{zone.rstrip('/')}_set_aside"
+
+
+def _write(rows: DataFrame, path: str, *partitions: str) -> None:
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partitions)
+        .parquet(path)
+    )
 
 
 def land_raw_files(
@@ -25,39 +40,44 @@ def land_raw_files(
 ) -> StreamingQuery:
     """Copy rows of new files of one kind below `drops/<group>/` to the raw zone.
 
+    The stream is one of file names; each file is then read by its own header, columns by name.
+    A file that lacks a column does not stop the stream: its name goes to `set_aside_folder`.
     The checkpoint remembers the files taken. The zone is partitioned by the hour of
     ingestion and by epoch; the hour is the batch's own clock, which a replayed batch
     repeats, so a replay replaces its folder. `max_files` bounds one micro-batch. Files
     of any age are taken. The list of files seen grows with the files, some hundred bytes
     each: after some millions, empty the drops and start a new checkpoint.
     """
+    # Only the names are selected, so this source opens no file.
     reader = (
-        spark.readStream.schema(S.raw_schema(S.RAW_COLUMNS[kind]))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("maxFileAge", ANY_AGE)
+        spark.readStream.format("binaryFile").schema(_FILE_COLUMNS).option("maxFileAge", ANY_AGE)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.csv(f"{drops.rstrip('/')}/*/{kind}_*.csv").select(
-        "*",
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
-        F.date_format(F.current_timestamp(), INGEST_HOUR_PATTERN).alias(INGEST_HOUR),
+    names = reader.load(f"{drops.rstrip('/')}/*/{kind}_*.csv").select(
+        "path", F.date_format(F.current_timestamp(), INGEST_HOUR_PATTERN).alias(INGEST_HOUR)
     )
     run = {"stream": None}
 
     def land(batch: DataFrame, batch_id: int) -> None:
         if run["stream"] is None:
             run["stream"] = spark.read.json(f"{checkpoint}/metadata").first()["id"]
-        (
-            batch.withColumn(INGEST_EPOCH, F.lit(f"{run['stream']}-{batch_id}"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(INGEST_HOUR, INGEST_EPOCH)
-            .parquet(zone)
-        )
+        taken = batch.collect()
+        if not taken:
+            return
+        stamp = {
+            INGEST_HOUR: F.lit(taken[0][INGEST_HOUR]),
+            INGEST_EPOCH: F.lit(f"{run['stream']}-{batch_id}"),
+        }
+        paths = sorted(row.path for row in taken)
+        rows, lacking = scan_files(spark, paths, kind)
+        if rows is not None:
+            _write(rows.withColumns(stamp), zone, INGEST_HOUR, INGEST_EPOCH)
+        if lacking:
+            files = spark.createDataFrame(lacking, f"{SOURCE_FILE} string, missing string")
+            _write(files.withColumns(stamp), set_aside_folder(zone), INGEST_EPOCH)
 
-    writer = rows.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    writer = names.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
