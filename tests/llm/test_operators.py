@@ -280,3 +280,38 @@ def test_words_split_as_declared():
 
     words, counts = word_hashes(pa.array(["a b\x0bc", None, " \t", "b", "a b"]))
     assert counts.tolist() == [3, 0, 0, 1, 1] and words[1] == words[3]
+
+
+def plainly_repeated(earlier, later, width=46, least=41):
+    """What two lists of shingles give by comparing each stretch with each."""
+    there = [Counter(earlier[j : j + width]) for j in range(len(earlier) - width + 1)]
+    spans = []
+    for i in range(len(later) - width + 1):
+        here = Counter(later[i : i + width])
+        similar = [x for x in there if sum((x & here).values()) >= least]
+        marked = [p for p in range(i, i + width) if any(later[p] in x for x in similar)]
+        if marked and spans and i - spans[-1][2] <= width:
+            spans[-1][1:] = [marked[-1] + 5, i]
+        elif marked:
+            spans.append([marked[0], marked[-1] + 5, i])
+    return [(start, end) for start, end, _ in spans]
+
+
+def test_passages_are_verified_against_passages():
+    codes = lambda x: np.array(x, dtype=np.uint64)
+    rng = np.random.default_rng(13)
+    later = rng.permutation(10**4)[:120]
+    scattered = np.concatenate([[x, *rng.integers(10**4, 10**6, size=9)] for x in later])
+    assert substring_dedup.repeated(codes(scattered), codes(later)) == []
+    assert substring_dedup.repeated(codes(range(100)), codes([7] * 60)) == []
+    found = 0
+    for case in range(60):
+        earlier, later = (rng.integers((3, 30, 10**6)[case % 3], size=130).tolist() for _ in "ab")
+        part = earlier[20:100]
+        for at in rng.integers(80, size=case % 9):
+            part[at] = 10**6 + int(at)
+        later[30:110] = part[case % 40 :] + part[: case % 40] if case % 2 else part[: -(case % 3) or None]
+        expected = plainly_repeated(earlier, later)
+        found += bool(expected)
+        assert substring_dedup.repeated(codes(earlier), codes(later)) == expected
+    assert found > 30
