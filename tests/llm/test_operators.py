@@ -315,3 +315,56 @@ def test_passages_are_verified_against_passages():
         found += bool(expected)
         assert substring_dedup.repeated(codes(earlier), codes(later)) == expected
     assert found > 30
+
+
+def _words_in_spans(rows):
+    return {r.doc_id: {w for s in r.spans for w in range(s.start, s.end)} for r in rows}
+
+
+def _plain_passages(rows):
+    """Words of each document that a passage similar to one of an earlier document covers."""
+    kept = {}
+    for b, later in rows:
+        kept[b] = set()
+        for a, earlier in rows:
+            if a < b:
+                lists = [list(_word_shingles(t)) for t in (earlier, later)]
+                if sum((Counter(lists[0]) & Counter(lists[1])).values()) >= 41:
+                    for start, end in plainly_repeated(*lists):
+                        kept[b].update(range(start, end))
+    return kept
+
+
+def _word_shingles(text):
+    words = WORD.findall(text)
+    return (tuple(words[k : k + 5]) for k in range(len(words) - 4))
+
+
+def test_passages_of_chains_and_frequent_lines(spark):
+    rng = np.random.default_rng(17)
+    draw = lambda n: [f"w{x}" for x in rng.integers(10**6, size=n)]
+    rows, k = [], 0
+    for _ in range(12):  # each differs from the one before in a word more
+        passage = draw(54)
+        for step in range(4):
+            rows.append((k + step, " ".join(draw(60) + passage + draw(60))))
+            passage = list(passage)
+            passage[15 + 8 * step] = f"x{k}"
+        k += 4
+    lines = [draw(9) for _ in range(5)]
+    for _ in range(30):  # lines of a stock in any order among other words: no passages
+        parts = [[*lines[x], *draw(14)] for x in rng.permutation(5)]
+        rows.append((k, " ".join(sum(parts, draw(20)))))
+        k += 1
+    for _ in range(8):  # passages of frequent lines, in two documents each
+        passage = [w for x in rng.permutation(5) for w in [*lines[x], *draw(3)]]
+        for _ in range(2):
+            rows.append((k, " ".join(draw(20) + passage + draw(50))))
+            k += 1
+    expected = _plain_passages(rows)
+    found = _words_in_spans(
+        substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    )
+    lost = [b for b in expected if expected[b] - found[b]]
+    assert sum(map(bool, expected.values())) > 30
+    assert not lost and found == expected
