@@ -385,3 +385,15 @@ def test_functions_agree_on_near_passages(shared):
         agree += left == right
     missed = np.mean(agree < substring_dedup.NEEDED)
     assert missed <= 0.001
+
+
+def test_one_of_each_goes_by_text(spark):
+    draw = lambda seed: " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(10**6, size=80))
+    near = draw(1).replace(draw(1).split()[0], "changed")
+    rows = [(1, draw(1)), (1, near), (2, draw(1)), (2, draw(2)), (2, draw(2)), (3, draw(3)), (4, draw(2))]
+    rows += [(5, None), (6, " "), (None, draw(1))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(map(tuple, minhash_dedup.one_of_each(df).collect()), key=str)
+    first = min((1, draw(1)), (1, near), key=lambda r: hashlib.md5(r[1].encode()).hexdigest())
+    expected = [first, (2, draw(2)), (3, draw(3)), (5, None), (6, " "), (None, draw(1))]
+    assert found == sorted(expected, key=str)

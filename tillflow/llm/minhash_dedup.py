@@ -210,6 +210,23 @@ def _ordered(x: str, y: str) -> list[Column]:
 
 def near_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: component_id, the least doc_id of its group, and whether it stays."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    results = _placed(docs, similarity).select("doc_id", "component_id")
+    alone = docs.where("doc_id IS NULL OR text IS NULL").select(
+        "doc_id", F.lit(None).cast(kind).alias("component_id")
+    )
+    return results.union(alone).select(
+        "doc_id",
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+    )
+
+
+def _placed(docs: DataFrame, similarity: float) -> DataFrame:
+    """doc_id, text_key, group and component_id, the least doc_id of the group, of rows with both.
+
+    Group and component_id are null where a text has no words.
+    """
     bits = most_different_bits(similarity)
     kind = docs.schema["doc_id"].dataType.simpleString()
     keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key"))
@@ -262,14 +279,8 @@ def near_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     rest = _verified(_strays(members, found, bits), texts, similarity)
     found = components(links.union(rest))
     known = written(_named(classes, found), "text-known")
-    results = signed.join(known, "text_key", "left").select("doc_id", "component_id")
-    alone = keyed.where("doc_id IS NULL OR text IS NULL").select(
-        "doc_id", F.lit(None).cast(kind).alias("component_id")
-    )
-    return results.union(alone).select(
-        "doc_id",
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+    return signed.join(known, "text_key", "left").select(
+        "doc_id", "text_key", "group", "component_id"
     )
 
 
@@ -314,18 +325,33 @@ def _strays(members: DataFrame, found: DataFrame, bits: int) -> DataFrame:
 
 
 def _named(classes: DataFrame, found: DataFrame) -> DataFrame:
-    """Of each class of equal texts, the least doc_id of its component."""
+    """Of each class of equal texts, its component and the least doc_id of that."""
     firsts = classes.select("id", "text_key", "first").join(found, "id", "left")
-    alone = firsts.where("component IS NULL").select("text_key", F.col("first").alias("component_id"))
+    alone = firsts.where("component IS NULL").select(
+        "text_key", F.col("id").alias("group"), F.col("first").alias("component_id")
+    )
     grouped = firsts.where("component IS NOT NULL")
     least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    return alone.union(grouped.join(least, "component").select("text_key", "component_id"))
+    return alone.union(
+        grouped.join(least, "component").select("text_key", "component", "component_id")
+    )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """Documents with all their columns, one of each group; rows without doc_id all stay."""
-    gone = near_documents(docs).where(~F.col("kept")).select("doc_id").distinct()
-    listed = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti")
-    # Partitioned by doc_id already: no further shuffle.
-    listed = listed.dropDuplicates(["doc_id", "text"])
+    """Documents with all their columns, one of each group; rows without doc_id all stay.
+
+    Of a doc_id with several texts each text is a document of its own.
+    """
+    placed = written(_placed(docs, SIMILARITY).where("group IS NOT NULL"), "text-groups")
+    first = placed.groupBy("group").agg(
+        F.count("*").alias("members"), F.min(F.struct("doc_id", "text_key")).alias("stays")
+    )
+    gone = (
+        placed.join(first.where("members > 1"), "group")
+        .where(F.struct("doc_id", "text_key") != F.col("stays"))
+        .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    )
+    listed = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
+    same = (F.col("doc_id") == F.col("_id")) & (text_key(F.col("text")) == F.col("_key"))
+    listed = listed.join(gone, same, "left_anti")
     return listed.union(docs.where("doc_id IS NULL")).select(*[f"`{c}`" for c in docs.columns])
