@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tillflow.llm import bpe, hmm_scoring, packing, quality_rules, sharding, substring_dedup
-from tillflow.llm import embedding_dedup, minhash_dedup
+from tillflow.llm import embedding_dedup, fitting, minhash_dedup, quality_classifier
 from tillflow.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -397,3 +397,21 @@ def test_one_of_each_goes_by_text(spark):
     first = min((1, draw(1)), (1, near), key=lambda r: hashlib.md5(r[1].encode()).hexdigest())
     expected = [first, (2, draw(2)), (3, draw(3)), (5, None), (6, " "), (None, draw(1))]
     assert found == sorted(expected, key=str)
+
+
+def test_labels_of_other_documents_do_not_count(spark, monkeypatch):
+    """Of ten documents here and a thousand labelled elsewhere, sizes and sample are of the ten."""
+    seen = []
+
+    def sample(*args):
+        seen.append(fitting.sample(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(quality_classifier, "sample", sample)
+    docs = spark.createDataFrame([(k, f"text {k % 2} number {k}") for k in range(10)], "doc_id long, text string")
+    labels = [(k, k % 2 if k < 10 else 0, 0) for k in range(1000)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    quality_classifier.selected_documents(docs, labels).collect()
+    here = [k % 2 for k in range(10) if zlib.crc32(str(k).encode()) % 4 != 2]
+    taken, sizes = seen[0]
+    assert sizes == [here.count(0), 0, here.count(1)] and taken.count() == len(here)

@@ -208,7 +208,8 @@ def quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def selected_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The selected documents with all their columns."""
-    model = train(docs, ratings_of(labels))
+    """The selected documents with all their columns; only labels of documents here count."""
+    ratings = ratings_of(labels).join(docs.select("doc_id"), "doc_id", "left_semi")
+    model = train(docs, ratings)
     scored = score(docs, model, *[F.col(f"`{name}`") for name in docs.columns])
     return scored.where(kept()).select("row.*")
