@@ -47,7 +47,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-# Training and encoding are beyond SQL; tests hold each stage against a plain version of it.
+# Training and encoding are beyond SQL. Tests hold counts of the rules, near documents, repeated passages
+# and packing against plain versions; the verdict of the rules and the classifier's choice have none.
 ORACLE_SQL = None
 
 
