@@ -172,7 +172,7 @@ def encoded_along_curve(docs: DataFrame, path: str) -> DataFrame:
     # Copies share a place; their ids, and a tie-breaker for rows that repeat, deal them out.
     order = ("curve", "doc_id", "tie")
     ordered = (
-        placed.withColumn("tie", F.xxhash64("text") + F.monotonically_increasing_id())
+        placed.withColumn("tie", F.xxhash64("text").bitwiseXOR(F.monotonically_increasing_id()))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select("doc_id", "text", "curve")
