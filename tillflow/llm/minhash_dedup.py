@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm.batches import mix, shingles, slices, unit, weighted, word_hashes
 from tillflow.llm.graph import components
-from tillflow.llm.storage import text_key, written
+from tillflow.llm.storage import every_column, text_key, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -340,7 +340,9 @@ def _named(classes: DataFrame, found: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Documents with all their columns, one of each group; rows without doc_id all stay.
 
-    Of a doc_id with several texts each text is a document of its own.
+    Of a doc_id with several texts each text is a document of its own; of rows that repeat doc_id
+    and text one stays. A null text is an empty one; texts without words all stay. Further columns
+    may have any names.
     """
     placed = written(_placed(docs, SIMILARITY).where("group IS NOT NULL"), "text-groups")
     first = placed.groupBy("group").agg(
@@ -351,7 +353,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         .where(F.struct("doc_id", "text_key") != F.col("stays"))
         .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     )
-    listed = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
-    same = (F.col("doc_id") == F.col("_id")) & (text_key(F.col("text")) == F.col("_key"))
+    whole = F.struct(*every_column(docs)).alias("row")
+    listed = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).select(whole)
+    same = (F.col("row.doc_id") == F.col("_id")) & (text_key(F.col("row.text")) == F.col("_key"))
     listed = listed.join(gone, same, "left_anti")
-    return listed.union(docs.where("doc_id IS NULL")).select(*[f"`{c}`" for c in docs.columns])
+    return listed.union(docs.where("doc_id IS NULL").select(whole)).select("row.*")

@@ -26,9 +26,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillflow.llm.batches import mix, slices, word_hashes
 from tillflow.llm.fitting import class_weights, held_out, minimise, sample, sigmoid
+from tillflow.llm.storage import every_column
 
 GRADES = 3
 TABLE_BITS = 16
@@ -125,7 +127,7 @@ def train(
         only = rated[0] if rated else grades - 1
         return Model(weights, np.where(np.arange(1, grades) <= only, -500.0, 500.0))
     # At most grades * per_grade rows of two numbers are broadcast, and as many texts dealt out.
-    texts = docs.join(F.broadcast(chosen), "doc_id").select("text", "grade")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "grade")
 
     def rows(batches):
         for batch in batches:
@@ -179,8 +181,8 @@ def score(docs: DataFrame, model: Model, *carried: Column) -> DataFrame:
                     ["row", "expected_grade", "tail_probability"],
                 )
 
-    kind = base.schema["row"].dataType.simpleString()
-    return base.mapInArrow(run, f"row {kind}, expected_grade double, tail_probability double")
+    numbers = [T.StructField(n, T.DoubleType()) for n in ("expected_grade", "tail_probability")]
+    return base.mapInArrow(run, T.StructType([base.schema["row"], *numbers]))
 
 
 def kept() -> Column:
@@ -208,8 +210,12 @@ def quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def selected_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The selected documents with all their columns; only labels of documents here count."""
+    """The selected documents with all their columns; only labels of documents here count.
+
+    A null text is an empty one; rows that repeat are judged alike. Further columns may have any
+    names and hold anything. Without a label for any document here all are kept.
+    """
     ratings = ratings_of(labels).join(docs.select("doc_id"), "doc_id", "left_semi")
     model = train(docs, ratings)
-    scored = score(docs, model, *[F.col(f"`{name}`") for name in docs.columns])
+    scored = score(docs, model, *every_column(docs))
     return scored.where(kept()).select("row.*")

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.storage import written
+from tillflow.llm.storage import every_column, written
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -230,10 +230,12 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def good_documents(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with all their columns.
+    """The documents that pass, with all their columns, whatever their names.
+
+    Null and empty texts have no words and go; rows that repeat share one verdict.
 
     Votes are written beside the rows before any row is dropped: a filter on the verdict would
     otherwise be moved below the counts and work them out anew for every word.
     """
-    voted = written(with_votes(docs, *[F.col(f"`{name}`") for name in docs.columns]), "quality-votes")
+    voted = written(with_votes(docs, *every_column(docs)), "quality-votes")
     return judged(voted, fit(voted)).where("kept").select("row.*")

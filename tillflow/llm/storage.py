@@ -22,6 +22,11 @@ def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def every_column(df: DataFrame, prefix: str = "") -> list[Column]:
+    """All columns by name, whatever characters their names hold."""
+    return [F.col(prefix + "`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
 def text_key(text: Column) -> Column:
     """Equal for equal texts only."""
     return F.md5(F.encode(text, "UTF-8"))

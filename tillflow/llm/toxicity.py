@@ -125,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
         return Model(nothing, np.zeros(0), -500.0 if share == 0 else 500.0)
     # At most 2 * per_class rows of two numbers are broadcast, and as many texts dealt out.
     texts = (
-        docs.join(F.broadcast(chosen), "doc_id")
+        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
         .select("text", "grade")
         .repartition(TRAINING_TASKS)
     )
