@@ -16,7 +16,7 @@ assert not [n for n in names if n.startswith("op") or n == "pipeline"]
 """
 
 
-@pytest.mark.parametrize("package", ["tiktoken", "tokenizers", "public_tokenizers", "tillflow.llm"])
+@pytest.mark.parametrize("package", ["tiktoken", "tokenizers", "public_tokenizers", "corpus_pipeline"])
 def test_without_a_package_of_the_part_on_text(package):
     run = [sys.executable, "-c", SCRIPT.format(package=package)]
     subprocess.run(run, check=True, cwd=ROOT)
