@@ -8,6 +8,7 @@ from tillflow.llm import oracle
 from tillflow.llm.bpe import digest_documents
 from tillflow.llm.embedding_dedup import near_vectors
 from tillflow.llm.hmm_scoring import score_documents
+from tillflow.llm.merkle import merkle_manifest
 from tillflow.llm.minhash_dedup import near_documents
 from tillflow.llm.packing import pack_documents
 from tillflow.llm.quality_classifier import quality_classifier
@@ -39,6 +40,7 @@ QUERIES = {
     "op8_quality_rules": _on_documents(quality_rules),
     "op9_substring_dedup": _on_documents(substring_dedup),
     "op10_packing": _on_documents(pack_documents, public_tokenizers.path("byte_bpe_50k.json")),
+    "op11_merkle_manifest": _on_documents(merkle_manifest),
 }
 
 ORACLE_SQL = oracle.SQL
