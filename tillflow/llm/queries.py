@@ -6,6 +6,7 @@ import public_tokenizers
 
 from tillflow.llm import oracle
 from tillflow.llm.bpe import digest_documents
+from tillflow.llm.conversations import repair_conversations
 from tillflow.llm.embedding_dedup import near_vectors
 from tillflow.llm.hmm_scoring import score_documents
 from tillflow.llm.merkle import merkle_manifest
@@ -41,6 +42,9 @@ QUERIES = {
     "op9_substring_dedup": _on_documents(substring_dedup),
     "op10_packing": _on_documents(pack_documents, public_tokenizers.path("byte_bpe_50k.json")),
     "op11_merkle_manifest": _on_documents(merkle_manifest),
+    "op12_conversation_repair": lambda spark, folder: repair_conversations(
+        table(spark, folder, "conversations")
+    ),
 }
 
 ORACLE_SQL = oracle.SQL
