@@ -47,8 +47,13 @@ def awkward(spark, tmp_path_factory):
     spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(
         f"{folder}/embeddings.parquet"
     )
+    turns = [(1, 0, "user", "Who?", 1), (1, 0, "user", "Who?", 1), (2, None, None, None, None)]
+    turns += [(None, 1, "", "", 2), (3, 0, "assistant", long_text, 3), (4, 9, "system", "\t", 4)]
+    spark.createDataFrame(
+        turns, "conv_id long, turn long, role string, text string, number long"
+    ).write.parquet(f"{folder}/conversations.parquet")
     empty = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "labels", "embeddings"):
+    for name in ("documents", "labels", "embeddings", "conversations"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{empty}/{name}.parquet")
     return folder, empty
 
@@ -57,7 +62,8 @@ def awkward(spark, tmp_path_factory):
 def test_awkward_rows_and_empty_tables(spark, awkward, name):
     folder, empty = awkward
     rows = QUERIES[name](spark, folder).count()
-    assert rows == (11 if name.startswith("op1_") else rows if name.startswith("op10") else 10)
+    expected = {"op1_embedding_dedup": 11, "op10_packing": rows, "op12_conversation_repair": 5}
+    assert rows == expected.get(name, 10)
     assert QUERIES[name](spark, empty).count() == 0
 
 

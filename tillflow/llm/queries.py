@@ -9,6 +9,7 @@ from tillflow.llm.bpe import digest_documents
 from tillflow.llm.conversations import repair_conversations
 from tillflow.llm.embedding_dedup import near_vectors
 from tillflow.llm.hmm_scoring import score_documents
+from tillflow.llm.language_id import language_id
 from tillflow.llm.merkle import merkle_manifest
 from tillflow.llm.minhash_dedup import near_documents
 from tillflow.llm.packing import pack_documents
@@ -45,6 +46,7 @@ QUERIES = {
     "op12_conversation_repair": lambda spark, folder: repair_conversations(
         table(spark, folder, "conversations")
     ),
+    "op13_language_id": _on_documents(language_id),
 }
 
 ORACLE_SQL = oracle.SQL
