@@ -18,7 +18,7 @@ from tillflow.operators import cleaning, maintenance, star
 from tillflow.plans import app_events, b2b, batch_report, marketing
 from tillflow.sources import drops, reports, tables, tpch
 from tillflow.sources.workspace import fresh_folder
-from tillflow.streaming import events, landing, raw_files
+from tillflow.streaming import event_table, events, landing, raw_files
 
 try:
     import corpus_pipeline
@@ -392,6 +392,38 @@ def landed_popular_categories(spark, folder):
     return app_events.popular_categories(spark.table(table))
 
 
+def late_events_in_table(spark, folder):
+    """Events landed in a table, purchases 400 days late, then looked after; with files per hour.
+
+    Two micro-batches bring the other events, so there is something to compact.
+    """
+    base = fresh_folder(spark, "events")
+    table = f"{_fresh_database(spark)}.app_events"
+    maintenance.create_event_table(spark, table, f"{base}/table")
+    records = tpch.event_records(spark, folder)
+    purchase = F.get_json_object("value", "$.eventType") == "purchase"
+    long_ago = F.date_format(F.col("ts") - F.expr("INTERVAL 400 DAYS"), "yyyy-MM-dd'T'HH:mm:ss")
+    late = F.regexp_replace(
+        "value", F.lit('"timestamp":"[^"]*"'), F.concat(F.lit('"timestamp":"'), long_ago, F.lit('"'))
+    )
+    even = F.crc32(F.encode("value", "UTF-8")) % 2 == 0
+    others = records.where(~purchase).select("value")
+    for lines in (others.where(even), others.where(~even), records.where(purchase).select(late)):
+        lines.toDF("value").write.mode("append").text(f"{base}/incoming")
+        source = events.event_source(spark, "text", {}, path=f"{base}/incoming")
+        event_table.land_events(
+            source, table, f"{base}/rejects", f"{base}/checkpoint", availableNow=True
+        ).awaitTermination()
+    jobs.upkeep_event_table(spark, table, COMPACTION_TIME)
+    rows = spark.table(table)
+    files = rows.select(*landing.PARTITIONS, "_metadata.file_path").distinct()
+    per_hour = files.groupBy(landing.PARTITIONS).agg(F.count("*").alias("files"))
+    # An hour that is still open keeps what the batches left, of which there may be one or two.
+    closed = F.to_timestamp("event_date") + F.make_interval(hours="event_hour") < COMPACTION_TIME
+    per_hour = per_hour.withColumn("files", F.when(closed, F.col("files")))
+    return _landed_rows(rows).join(per_hour, landing.PARTITIONS)
+
+
 def incremental_landing(spark, folder):
     """Land the drops of two groups, some files at a time, then run again with nothing new."""
     base = fresh_folder(spark, "landing")
@@ -459,6 +491,7 @@ _QUERIES = {
     "compact_partition": compact_partition,
     "compact_range": compact_range,
     "repair_partitions": repair_partitions,
+    "late_events_in_table": late_events_in_table,
     "sales_by_payment_method": _on_events(app_events.sales_by_payment_method),
     "popular_categories": _on_events(app_events.popular_categories),
     "revenue_by_customer": _on_events(app_events.revenue_by_customer),

@@ -206,6 +206,19 @@ SELECT *, CASE WHEN {compacted} THEN 1
 FROM good"""
 
 
+def _late_events(compaction):
+    """All events, purchases 400 days late; closed hours are one file."""
+    late = "\"eventType\" = 'purchase'"
+    return f"""WITH {_EVENTS}, moved AS (
+  SELECT * REPLACE (
+    CASE WHEN {late} THEN "timestamp" - INTERVAL 400 DAY ELSE "timestamp" END AS "timestamp",
+    CASE WHEN {late} THEN cast(event_date - INTERVAL 400 DAY AS date) ELSE event_date END AS event_date
+  ) FROM flat
+)
+SELECT *, CASE WHEN event_date + to_hours(event_hour) < TIMESTAMP '{compaction:%Y-%m-%d %H:00:00}'
+  THEN cast(1 AS bigint) END AS files FROM moved"""
+
+
 def build(report_day: str, customer_split: str, product_split: str, compaction) -> dict[str, str]:
     """SQL per query name, for the given report day, batch borders and time of a compaction."""
     closed = compaction - timedelta(hours=1)
@@ -306,6 +319,7 @@ SELECT "customerId", "timestamp", event_date, event_hour FROM flat""",
 SELECT category, count(*) AS total_events FROM flat
 WHERE "eventType" NOT IN ('error', 'signup') GROUP BY category""",
         "repair_partitions": _GOOD_EVENTS,
+        "late_events_in_table": _late_events(compaction),
         "sales_by_payment_method": _purchases('"paymentMethod"', "total_sales"),
         "popular_categories": f"""WITH {_EVENTS}
 SELECT category, count(*) AS total_events FROM flat GROUP BY category""",

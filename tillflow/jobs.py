@@ -1,6 +1,6 @@
 """Jobs a scheduler would call; times come in as arguments."""
 
-from datetime import date, datetime, timedelta
+from datetime import UTC, date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from tillflow import fixed_values as V
 from tillflow import schemas as S
-from tillflow.operators import cleaning, maintenance, star
+from tillflow.operators import cleaning, maintenance, star, versions
 from tillflow.plans.b2b import daily_report_order, daily_sales_dump
 from tillflow.sources import tables
 from tillflow.sources.drops import hour_folder, scan_drop
 from tillflow.sources.reports import write_csv_report
 from tillflow.sources.tables import KEYLESS_TABLE as KEYLESS_TABLE
 from tillflow.sources.workspace import fresh_folder, remove_folder
+from tillflow.streaming.hours import register, take_off, touched_hours
 from tillflow.streaming.raw_files import land_raw_files, read_raw_zone
 
 _KINDS = (V.SALES_KIND, V.AGENTS_KIND, V.BRANCHES_KIND)
@@ -113,9 +114,10 @@ def upkeep_events(
 ) -> None:
     """Hourly upkeep of landed events: compact the hours that are over, then register hours.
 
-    Looks at the hours of the last `days_back` days that ended `lag_hours - 1` hours ago or
+    Compacts the hours of the last `days_back` days that ended `lag_hours - 1` hours ago or
     earlier; late events scatter older hours again, which a longer look back takes up. Hours
-    are registered after their swap, so that the table never lists a file that is gone.
+    are registered after their swap, so that the table never lists a file that is gone: those of
+    these days, and all that landing touched since the last run, of any age.
     """
     day, hour = maintenance.closed_hour(now, lag_hours)
     open_from = datetime(day.year, day.month, day.day, hour) + timedelta(hours=1)
@@ -124,4 +126,28 @@ def upkeep_events(
     maintenance.register_hours(
         spark, table, maintenance.landed_hours(spark, path, start, now.date() + timedelta(days=1))
     )
+    touched = touched_hours(spark, path.rstrip("/"))
+    register(spark, table, list(touched))
+    take_off(spark, touched)
     spark.catalog.refreshTable(table)
+
+
+def upkeep_event_table(
+    spark: SparkSession,
+    table: str,
+    now: datetime,
+    lag_hours: int = 1,
+    keep: timedelta = timedelta(days=1),
+    target_file_bytes: int = maintenance.TARGET_FILE_BYTES,
+) -> list[tuple[date, int]]:
+    """Hourly upkeep of a table that `event_table.land_events` fills; returns the hours compacted.
+
+    Takes the hours that landing touched since the last run, however old they are, and that ended
+    `lag_hours - 1` hours ago or earlier. Old versions go when they are out of use for `keep`, by the
+    clock of the storage.
+    """
+    day, hour = maintenance.closed_hour(now, lag_hours)
+    open_from = datetime(day.year, day.month, day.day, hour) + timedelta(hours=1)
+    done = versions.compact_touched(spark, table, open_from, target_file_bytes)
+    versions.remove_old_versions(spark, table, datetime.now(UTC), keep)
+    return done

@@ -6,11 +6,12 @@ to the same hours, which is why it takes hours that are over for a while.
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow import schemas as S
 from tillflow.sources.workspace import file_system, remove_folder
+from tillflow.streaming.hours import Hour, hour_key, hour_name, register
 from tillflow.streaming.landing import (
     PARTITIONS,
     by_hour,
@@ -121,6 +122,29 @@ def _rewrite(spark: SparkSession, path: str, hours: DataFrame, laid_out: DataFra
     _swap(spark, path, staged)
 
 
+def laid_out(rows: DataFrame, files: dict[Hour, int]) -> DataFrame:
+    """Rows dealt out so that each hour becomes as many files as named.
+
+    One shuffle. An hour of several files is spread by a hash of its rows, so a hot hour is written by
+    as many tasks as it gets files.
+    """
+    several = [
+        pair
+        for (day, hour), n in files.items()
+        if n > 1
+        for pair in (F.lit(hour_name(day, hour)), F.lit(n))
+    ]
+    # Small hours share tasks; a part of a hot hour is a task's work.
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = sum(n for n in files.values() if n > 1)
+    tasks = min(sum(files.values()), max(least, 2 * hot))
+    if not several:
+        return rows.repartition(tasks, *PARTITIONS)
+    share = F.coalesce(F.try_element_at(F.create_map(*several), hour_key()), F.lit(1))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64(*S.EVENT_COLUMNS, S.EVENT_EPOCH), share))
+    return dealt.repartition(tasks, *PARTITIONS, "part").drop("part")
+
+
 def files_per_hour(spark: SparkSession, path: str) -> DataFrame:
     """event_date, event_hour, rows, files and bytes of every landed hour."""
     per_file = (
@@ -181,8 +205,8 @@ def compact_range(
 
     Hours that are as few files as their bytes need already are left alone, and so are, with
     `closed_before`, hours that begin at that time or later. None if there was nothing to do.
-    As a rebalance by hour: small hours share a task, an hour with a third of all rows is split
-    over tasks by the adaptive planner, by its advisory partition size.
+    Rows are shuffled once; an hour with a third of all rows is written by as many tasks as it gets
+    files.
     """
     finish_compaction(spark, path)
     if read_events_if_any(spark, path) is None:
@@ -196,13 +220,15 @@ def compact_range(
         )
     # A row per hour: kept as rows of the driver, as the swap changes the files they count.
     scattered = files_per_hour(spark, path).where(in_range & (F.col("files") > wanted))
-    todo = scattered.select(PARTITIONS).collect()
+    todo = scattered.select(*PARTITIONS, wanted.cast("int").alias("wanted")).collect()
     if not todo:
         return None
-    done = spark.createDataFrame(todo, "event_date date, event_hour int")
-    hours = read_events(spark, path).where(in_range).join(done, PARTITIONS, "left_semi")
-    _rewrite(spark, path, hours, by_hour(hours))
-    return done
+    files = {(row.event_date, row.event_hour): row.wanted for row in todo}
+    names = [hour_name(*hour) for hour in files]
+    # On the partition columns alone, so it prunes folders and needs no join.
+    hours = read_events(spark, path).where(in_range & hour_key().isin(names))
+    _rewrite(spark, path, hours, laid_out(hours, files))
+    return spark.createDataFrame(list(files), "event_date date, event_hour int")
 
 
 def landed_hours(spark: SparkSession, path: str, start: date, end: date) -> DataFrame:
@@ -216,12 +242,7 @@ def landed_hours(spark: SparkSession, path: str, start: date, end: date) -> Data
 def register_hours(spark: SparkSession, table: str, hours: DataFrame) -> None:
     """Make these hours of a table visible by name, without listing its other folders."""
     rows = hours.select(PARTITIONS).where("event_date IS NOT NULL").distinct().collect()
-    if rows:
-        parts = " ".join(
-            f"PARTITION (event_date = '{row.event_date.isoformat()}', event_hour = {row.event_hour})"
-            for row in rows
-        )
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+    register(spark, table, [tuple(row) for row in rows])
 
 
 def create_event_table(spark: SparkSession, table: str, path: str) -> None:

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillflow import schemas as S
 from tillflow.streaming.events import good_events, parse_events, quarantine_events
+from tillflow.streaming.hours import mark, touched_list
 
 PARTITIONS = list(S.EVENT_PARTITIONS)
 
@@ -76,6 +77,9 @@ def _epoch_in_hours(stored: DataFrame, hours: DataFrame, epoch: str) -> DataFram
 def land_epoch(events: DataFrame, path: str, epoch: str, may_be_replay: bool) -> None:
     """Add one epoch's rows to the table; a replay replaces what its first attempt left."""
     rows = events.withColumn(S.EVENT_EPOCH, F.lit(epoch))
+    # A row per hour of the batch; upkeep registers what is on the list, however old it is.
+    for hour in rows.select(PARTITIONS).distinct().collect():
+        mark(events.sparkSession, touched_list(path.rstrip("/")), tuple(hour), epoch.replace("/", "-"))
     hours = _stored_hours_of_epoch(rows, path, epoch) if may_be_replay else None
     if hours is None:
         _write(by_hour(rows), path, "append", PARTITIONS)
