@@ -16,7 +16,7 @@ from tillflow.sources.reports import write_csv_report
 from tillflow.sources.tables import KEYLESS_TABLE as KEYLESS_TABLE
 from tillflow.sources.workspace import fresh_folder, remove_folder
 from tillflow.streaming.hours import register, take_off, touched_hours
-from tillflow.streaming.raw_files import land_raw_files, read_raw_zone
+from tillflow.streaming.raw_files import archive_taken, land_raw_files, read_raw_zone
 
 _KINDS = (V.SALES_KIND, V.AGENTS_KIND, V.BRANCHES_KIND)
 
@@ -75,8 +75,18 @@ def load_hour(spark: SparkSession, base: str, run_hour: datetime, database: str)
     load_batch(spark, database, *drops, load_hour=run_hour.strftime("%Y-%m-%d-%H"))
 
 
-def land_new_files(spark: SparkSession, drops: str, zone: str, checkpoints: str, **limits) -> None:
-    """Take the files that appeared below `drops/<group>/` since the last run to the raw zone."""
+def land_new_files(
+    spark: SparkSession,
+    drops: str,
+    zone: str,
+    checkpoints: str,
+    archive: str | None = None,
+    **limits,
+) -> None:
+    """Take the files that appeared below `drops/<group>/` since the last run to the raw zone.
+
+    With `archive`, a folder in the same storage, files taken are moved there.
+    """
     for kind in _KINDS:
         land_raw_files(
             spark,
@@ -87,6 +97,8 @@ def land_new_files(spark: SparkSession, drops: str, zone: str, checkpoints: str,
             availableNow=True,
             **limits,
         ).awaitTermination()
+        if archive:
+            archive_taken(spark, f"{zone}/{kind}", f"{checkpoints}/{kind}", f"{archive}/{kind}")
 
 
 def load_landed_hour(spark: SparkSession, zone: str, ingest_hour: str, database: str) -> None:

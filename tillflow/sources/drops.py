@@ -1,5 +1,6 @@
 """Hourly CSV drops: <base>/YYYY/MM/DD/HH/<group>/<kind>_*.csv."""
 
+import csv
 from datetime import datetime
 from urllib.parse import unquote
 
@@ -10,6 +11,7 @@ from tillflow import fixed_values as V
 from tillflow import schemas as S
 
 SOURCE_FILE = "source_file"
+_OPEN_COST = "spark.sql.files.openCostInBytes"
 
 
 def hour_folder(base: str, run_hour: datetime) -> str:
@@ -26,13 +28,41 @@ def _read(spark: SparkSession, columns, paths) -> DataFrame:
     )
 
 
+def _first_lines(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]:
+    """Path and first line of each file that is not blank, in one job, by the executors.
+
+    Every split is a task of its own, which stops at its first line, so of a large file little is read.
+    """
+
+    def first(batches):
+        for batch in batches:
+            for k, line in enumerate(batch.column("value").to_pylist()):
+                if line.strip():
+                    # A split behind the first one begins somewhere in the file.
+                    starts = batch.column("start")[k].as_py() == 0
+                    yield batch.slice(k, int(starts)).select(["path", "value"])
+                    return
+
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        "value",
+        F.col("_metadata.file_block_start").alias("start"),
+    )
+    before = spark.conf.get(_OPEN_COST)
+    # Opening a file counts as much as a whole task, so no two splits share one.
+    spark.conf.set(_OPEN_COST, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    try:
+        found = lines.mapInArrow(first, "path string, value string").collect()
+    finally:
+        spark.conf.set(_OPEN_COST, before)
+    return sorted((unquote(row.path), row.value) for row in found)
+
+
 def files_by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
     """Files with the same header line together; only first lines are read. Empty files drop out."""
     found: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        header = tuple(spark.read.option("header", True).csv(path).columns)
-        if header:
-            found.setdefault(header, []).append(path)
+    for path, line in _first_lines(spark, paths):
+        found.setdefault(tuple(next(csv.reader([line]))), []).append(path)
     return found
 
 

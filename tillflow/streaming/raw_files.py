@@ -6,7 +6,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillflow import schemas as S
 from tillflow.sources.drops import SOURCE_FILE, scan_files
+from tillflow.sources.workspace import file_system, remove_folder
 from tillflow.streaming.events import ANY_AGE
+from tillflow.streaming.hours import statuses
 
 INGEST_HOUR = "ingest_hour"
 INGEST_EPOCH = "ingest_epoch"
@@ -20,6 +22,46 @@ def set_aside_folder(zone: str) -> str:
     return f"{zone.rstrip('/')}_set_aside"
 
 
+def taken_list(zone: str) -> str:
+    """Where the names of files taken are kept until they are in the archive."""
+    return f"{zone.rstrip('/')}_taken"
+
+
+def _list_taken(spark: SparkSession, folder: str, paths: list[str]) -> None:
+    names = spark.createDataFrame([(path,) for path in paths], "path string")
+    names.coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def archive_taken(spark: SparkSession, zone: str, checkpoint: str, archive: str) -> int:
+    """Move the files of committed batches out of the drops; returns how many were moved.
+
+    A batch that may be replayed still needs its files, so they stay. After that the drops hold only
+    what is new or about to be taken: listing them stays quick, and when the last batch is committed
+    and archived a new checkpoint may be started, with an empty list of files seen; it takes none
+    twice. A run that was cut off is finished by the next one.
+    """
+    stream = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+    commits = [f.getPath().getName() for f in statuses(spark, f"{checkpoint}/commits")]
+    last = max((int(name) for name in commits if name.isdigit()), default=-1)
+    moved = 0
+    for folder in statuses(spark, f"{taken_list(zone)}/{stream}"):
+        number = folder.getPath().getName()
+        if int(number) > last:
+            continue
+        listed = f"{taken_list(zone)}/{stream}/{number}"
+        for row in spark.read.schema("path string").parquet(listed).collect():
+            system, place = file_system(spark, row.path)
+            group, name = place.getParent().getName(), place.getName()
+            _, target = file_system(spark, f"{archive.rstrip('/')}/{stream}-{number}/{group}/{name}")
+            if system.exists(place):
+                system.mkdirs(target.getParent())
+                if not system.rename(place, target):
+                    raise RuntimeError(f"{row.path} could not be moved; the next run moves it")
+                moved += 1
+        remove_folder(spark, listed)
+    return moved
+
+
 def _write(rows: DataFrame, path: str, *partitions: str) -> None:
     (
         rows.write.mode("overwrite")
@@ -45,8 +87,10 @@ def land_raw_files(
     The checkpoint remembers the files taken. The zone is partitioned by the hour of
     ingestion and by epoch; the hour is the batch's own clock, which a replayed batch
     repeats, so a replay replaces its folder. `max_files` bounds one micro-batch. Files
-    of any age are taken. The list of files seen grows with the files, some hundred bytes
-    each: after some millions, empty the drops and start a new checkpoint.
+    of any age are taken.
+
+    The names taken by a batch are listed beside the zone until `archive_taken` moves their files.
+    The list of files seen in the checkpoint grows by some hundred bytes a file.
     """
     # Only the names are selected, so this source opens no file.
     reader = (
@@ -70,6 +114,7 @@ def land_raw_files(
             INGEST_EPOCH: F.lit(f"{run['stream']}-{batch_id}"),
         }
         paths = sorted(row.path for row in taken)
+        _list_taken(spark, f"{taken_list(zone)}/{run['stream']}/{batch_id}", paths)
         rows, lacking = scan_files(spark, paths, kind)
         if rows is not None:
             _write(rows.withColumns(stamp), zone, INGEST_HOUR, INGEST_EPOCH)
