@@ -230,10 +230,9 @@ def _unit(*columns) -> Column:
 
 def _sampled_windows(usable: DataFrame, sizes: dict[str, int]) -> DataFrame:
     """lang, hash and bytes of the windows of the documents drawn."""
-    rates = usable.sparkSession.createDataFrame(
-        [(lang, min(1.0, DOCS_PER_LANG / n)) for lang, n in sizes.items()], "of string, rate double"
-    )
-    drawn = usable.join(rates, F.col("lang") == F.col("of")).where(_unit("doc_id") < F.col("rate"))
+    rates = [F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, DOCS_PER_LANG / n))]
+    # As an expression: a join by language would shuffle all texts by a few hot keys.
+    drawn = usable.where(_unit("doc_id") < F.try_element_at(F.create_map(*rates), F.col("lang")))
 
     def cut(batches):
         for batch in batches:
