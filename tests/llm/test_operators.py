@@ -150,6 +150,34 @@ def test_joins_of_long_unsplit_text():
         assert [i for word in tree.encode([text])[0] for i in word.ids] == ids
 
 
+class Counted:
+    """A tokenizer that counts the characters it gets."""
+
+    def __init__(self, codec):
+        self.codec, self.signs = codec, 0
+
+    def encode(self, text, **options):
+        self.signs += len(text)
+        return self.codec.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.signs += sum(map(len, texts))
+        return self.codec.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("length", [8_000, 64_000, 1_000_000])
+def test_halves_are_encoded_once(length):
+    """Of a run without white space little more than the run itself is encoded, at any length."""
+    codec, rng = bpe.tokenizer(WORDS), np.random.default_rng(6)
+    parts = ["the", "ing", "a", "!", "tion", "x", "1", "é", "'s", "qu", "漢"]
+    text = "".join(rng.choice(parts, size=length // 2))[:length]
+    tree = bpe.Encoder(WORDS)
+    tree.codec = Counted(codec)
+    (words,) = tree.encode([text])
+    assert [i for w in words for i in w.ids] == codec.encode(text, add_special_tokens=False).ids
+    assert tree.codec.signs < 1.5 * len(text)
+
+
 def test_packing(spark, texts):
     codec = Tokenizer.from_file(BYTES)
     ids = {k: codec.encode(t, add_special_tokens=False).ids + [0] for k, t in texts.items()}

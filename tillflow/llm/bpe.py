@@ -1,9 +1,9 @@
 """Encoding and decoding with a public word-level BPE vocabulary, by tree concatenation.
 
 A long text is cut into halves, the halves again, down to leaves that are encoded side by side; a
-cut may fall inside a word. Going up the tree, the text around each join is encoded once more, in a
-window that grows until it agrees on both sides with what the halves have; the tokens between the
-two places of agreement replace what the cut spoilt. White space ends a word for this vocabulary, so
+cut may fall inside a word. Each half keeps its tokens and their places. Going up the tree, only the
+text around each join is encoded once more, in a window that grows until it agrees on both sides with
+what the halves have; the tokens between the two places of agreement replace what the cut spoilt. White space ends a word for this vocabulary, so
 a window of one word is enough where words are short; a long run without white space is mended in
 windows of growing length, down to single tokens. If no window agrees, the window becomes the whole
 run, so results are always those of the library on the uncut text.
@@ -25,6 +25,7 @@ from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -78,53 +79,75 @@ def halves(text: str, leaf: int) -> list[tuple[int, int]]:
     return spans
 
 
-def _lengths(codec: Tokenizer, text: str):
-    """Tokens with the characters they stand for."""
-    encoded = codec.encode(text, add_special_tokens=False)
-    return list(zip(encoded.ids, encoded.offsets, strict=True))
+class Spans(NamedTuple):
+    """Token ids of a run of text, and from where to where in it each stands."""
+
+    ids: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+
+    def shifted(self, by: int) -> Spans:
+        return Spans(self.ids, self.starts + by, self.ends + by)
 
+    def part(self, start: int | None, stop: int | None) -> Spans:
+        return Spans(*[x[start:stop] for x in self])
 
-def _clean(tokens, k: int) -> bool:
-    """Whether token k shares no character with a neighbour, as parts of one character would."""
-    _, (start, end) = tokens[k]
-    return (k == 0 or tokens[k - 1][1][1] <= start) and (
-        k + 1 == len(tokens) or end <= tokens[k + 1][1][0]
-    )
+    def clean(self, k: int) -> bool:
+        """Whether token k shares no character with a neighbour, as parts of one character would."""
+        return (k == 0 or self.ends[k - 1] <= self.starts[k]) and (
+            k + 1 == len(self.ids) or self.ends[k] <= self.starts[k + 1]
+        )
+
+
+def spans_of(codec: Tokenizer, text: str) -> Spans:
+    encoded = codec.encode(text, add_special_tokens=False)
+    places = np.array(encoded.offsets, dtype=np.int64).reshape(-1, 2)
+    return Spans(np.array(encoded.ids, dtype=np.int64), places[:, 0], places[:, 1])
 
 
-def mend(codec: Tokenizer, left: str, right: str, window: int = WINDOW):
-    """Token ids of left + right, a text without white space, from windows around the join."""
-    a, b = _lengths(codec, left), _lengths(codec, right)
+def mend(
+    codec: Tokenizer, left: str, a: Spans, right: str, b: Spans, window: int = WINDOW
+) -> Spans:
+    """Tokens of left + right, a text without white space, from those of both and windows around the join.
+
+    Only the windows are encoded. They begin and end at tokens that the halves have.
+    """
+    shift = len(left)
     while True:
-        first = next((k for k, (_, (s, _)) in enumerate(a) if s >= len(left) - window), len(a))
-        last = next((k for k in range(len(b) - 1, -1, -1) if b[k][1][1] <= window), -1)
-        start = a[first][1][0] if first < len(a) else len(left)
-        end = b[last][1][1] if last >= 0 else 0
+        first = int(np.searchsorted(a.starts, shift - window, side="left"))
+        last = int(np.searchsorted(b.ends, window, side="right")) - 1
+        start = int(a.starts[first]) if first < len(a.ids) else shift
+        end = int(b.ends[last]) if last >= 0 else 0
         if window >= len(left):
             first, start = 0, 0
         if window >= len(right):
-            last, end = len(b) - 1, len(right)
+            last, end = len(b.ids) - 1, len(right)
         if start == 0 and end == len(right):
-            return codec.encode(left + right, add_special_tokens=False).ids
-        middle = [
-            (i, (s + start, e + start)) for i, (s, e) in _lengths(codec, left[start:] + right[:end])
-        ]
-        ours = {span: k for k, (_, span) in enumerate(middle) if _clean(middle, k)}
-        begin, stop = (0 if start == 0 else None), (len(middle) if end == len(right) else None)
-        head, tail = (0 if start == 0 else None), (len(b) if end == len(right) else None)
-        for k in range(first, len(a)):
-            at = ours.get(a[k][1])
-            if begin is None and at is not None and middle[at][0] == a[k][0] and _clean(a, k):
-                begin, head = at, k
-        shift = len(left)
+            return spans_of(codec, left + right)
+        middle = spans_of(codec, left[start:] + right[:end]).shifted(start)
+        places = zip(middle.starts.tolist(), middle.ends.tolist(), strict=True)
+        ours = {span: k for k, span in enumerate(places) if middle.clean(k)}
+
+        def at(half: Spans, k: int, by: int, ours=ours, middle=middle) -> int | None:
+            """The token of the window that is token k of a half."""
+            found = ours.get((int(half.starts[k]) + by, int(half.ends[k]) + by))
+            same = found is not None and middle.ids[found] == half.ids[k] and half.clean(k)
+            return found if same else None
+
+        head = begin = 0 if start == 0 else None
+        for k in range(first, len(a.ids)):
+            if begin is not None:
+                break
+            begin, head = at(a, k, 0), k
+        tail, stop = (len(b.ids), len(middle.ids)) if end == len(right) else (None, None)
         for k in range(last, -1, -1):
-            at = ours.get((b[k][1][0] + shift, b[k][1][1] + shift))
-            seen = b[k][1][1] + LOOKAHEAD <= end
-            if stop is None and seen and at is not None and middle[at][0] == b[k][0] and _clean(b, k):
-                stop, tail = at, k
+            if stop is not None:
+                break
+            if b.ends[k] + LOOKAHEAD <= end:
+                stop, tail = at(b, k, shift), k
         if begin is not None and stop is not None and begin <= stop:
-            ids = [i for i, _ in a[:head]] + [i for i, _ in middle[begin:stop]]
-            return ids + [i for i, _ in b[tail:]]
+            parts = (a.part(None, head), middle.part(begin, stop), b.part(tail, None).shifted(shift))
+            return Spans(*[np.concatenate(x) for x in zip(*parts, strict=True)])
         window *= 2
 
 
@@ -183,25 +206,55 @@ class Encoder:
             if len(a) + len(b) <= 2 * self.window:
                 mended = self.learn([a + b])[a + b]
             else:
-                mended = self.word(mend(self.codec, a.decode(), b.decode(), self.window))
+                one, two = a.decode(), b.decode()
+                known = [
+                    t if isinstance(t, Spans) else spans_of(self.codec, text)
+                    for t, text in ((tokens[-1], one), (right.tokens[0], two))
+                ]
+                mended = mend(self.codec, one, known[0], two, known[1], self.window)
             words = words[:-1] + [a + b] + right.words[1:]
             tokens = tokens[:-1] + [mended] + right.tokens[1:]
         else:
             words, tokens = words + right.words, tokens + right.tokens
         return Leaf(words, tokens, left.open_left, right.open_right)
 
+    def _cut(self, tree: list[Leaf]) -> dict[tuple[int, int], Spans]:
+        """Tokens, with places, of the long parts of words that the ends of leaves cut, by leaf and word."""
+        found = {}
+        for k, leaf in enumerate(tree):
+            ends = {0} if k > 0 and leaf.open_left else set()
+            if k + 1 < len(tree) and leaf.open_right:
+                ends.add(len(leaf.words) - 1)
+            for word in ends:
+                if len(leaf.words[word]) > self.window:
+                    found[k, word] = spans_of(self.codec, leaf.words[word].decode())
+        return found
+
     def encode(self, texts: list[str]) -> list[list[Word]]:
         """Per text, its words with their tokens."""
         trees = [self.leaves(text) for text in texts]
-        known = self.learn(chain.from_iterable(leaf.words for tree in trees for leaf in tree))
+        cuts = [self._cut(tree) for tree in trees]
+        known = self.learn(
+            word
+            for tree, cut in zip(trees, cuts, strict=True)
+            for k, leaf in enumerate(tree)
+            for w, word in enumerate(leaf.words)
+            if not cut or (k, w) not in cut
+        )
         results = []
-        for tree in trees:
-            for leaf in tree:
-                leaf.tokens = [known[w] for w in leaf.words]
+        for tree, cut in zip(trees, cuts, strict=True):
+            for k, leaf in enumerate(tree):
+                leaf.tokens = [
+                    cut[k, w] if cut and (k, w) in cut else known[word]
+                    for w, word in enumerate(leaf.words)
+                ]
             while len(tree) > 1:
                 pairs = [self.join(*tree[k : k + 2]) for k in range(0, len(tree) - 1, 2)]
                 tree = pairs + tree[len(pairs) * 2 :]
-            results.append(tree[0].tokens)
+            tokens = tree[0].tokens
+            if cut:
+                tokens = [self.word(t.ids.tolist()) if isinstance(t, Spans) else t for t in tokens]
+            results.append(tokens)
         return results
 
 
