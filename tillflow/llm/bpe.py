@@ -230,23 +230,32 @@ class Encoder:
                     found[k, word] = spans_of(self.codec, leaf.words[word].decode())
         return found
 
+    @staticmethod
+    def _whole(k: int, leaf: Leaf, cut: dict) -> list[bytes]:
+        """The words of a leaf but for the parts that were encoded with their places."""
+        if not cut:
+            return leaf.words
+        return [word for w, word in enumerate(leaf.words) if (k, w) not in cut]
+
     def encode(self, texts: list[str]) -> list[list[Word]]:
         """Per text, its words with their tokens."""
         trees = [self.leaves(text) for text in texts]
         cuts = [self._cut(tree) for tree in trees]
         known = self.learn(
-            word
-            for tree, cut in zip(trees, cuts, strict=True)
-            for k, leaf in enumerate(tree)
-            for w, word in enumerate(leaf.words)
-            if not cut or (k, w) not in cut
+            chain.from_iterable(
+                self._whole(k, leaf, cut)
+                for tree, cut in zip(trees, cuts, strict=True)
+                for k, leaf in enumerate(tree)
+            )
         )
         results = []
         for tree, cut in zip(trees, cuts, strict=True):
             for k, leaf in enumerate(tree):
+                if not cut:
+                    leaf.tokens = [known[word] for word in leaf.words]
+                    continue
                 leaf.tokens = [
-                    cut[k, w] if cut and (k, w) in cut else known[word]
-                    for w, word in enumerate(leaf.words)
+                    cut[k, w] if (k, w) in cut else known[word] for w, word in enumerate(leaf.words)
                 ]
             while len(tree) > 1:
                 pairs = [self.join(*tree[k : k + 2]) for k in range(0, len(tree) - 1, 2)]

@@ -32,10 +32,10 @@ from tillflow.llm.fitting import held_out
 from tillflow.llm.storage import written
 
 FOLDS, HELD_OUT = 5, 0
-WINDOW, STATES = 64, 16
+WINDOW, STATES = 64, 12
 DOCS_PER_LANG, WINDOWS_PER_LANG = 500, 3000
 BATCH, ROUNDS, RATE, MOST_SLOPE = 256, 200, 0.02, 1.0
-SIDE_BY_SIDE = 2048  # windows predicted at a time
+SIDE_BY_SIDE = 1024  # windows predicted at a time
 PAD = 256  # stands behind the end of a text
 UNKNOWN = "und"
 SEED = 20240229
