@@ -53,9 +53,9 @@ def load_batch(
             V.BRANCH_TABLE: (cleaning.clean_branches(branches), star.branch_dim),
         }
         for name, (rows, dimension) in sources.items():
-            tables.append_dimension(
-                dimension(rows), tables.create_dimension_table(spark, database, name)
-            )
+            table = tables.create_dimension_table(spark, database, name)
+            tables.append_dimension(dimension(rows), table)
+            tables.compact_dimension(spark, table)
         keyless = [
             star.without_key(rows, S.DIMENSION_COLUMNS[name][0]).select(
                 F.lit(name).alias("dimension"), F.to_json(F.struct("*")).alias("fields")

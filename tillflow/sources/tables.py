@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from tillflow import fixed_values as V
 from tillflow import schemas as S
 from tillflow.operators.star import new_rows
+from tillflow.sources.workspace import file_system, remove_folder
 
 LOAD_HOUR = "load_hour"
 KEYLESS_TABLE = "rows_without_key"
 _NO_HOUR = "appended"
+_VERSIONS = "_versions/"
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -93,6 +95,59 @@ def append_dimension(dimension: DataFrame, table: str) -> None:
     fresh.hint("rebalance").write.mode("append").format("parquet").saveAsTable(table)
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    """Folder of a table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0].data_type.rstrip("/")
+
+
+def _data_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    system, place = file_system(spark, folder)
+    entries = system.listStatus(place) if system.exists(place) else []
+    named = [(entry.getPath().getName(), entry.getLen()) for entry in entries]
+    return [(name, size) for name, size in named if not name.startswith(("_", "."))]
+
+
+def _switch(spark: SparkSession, table: str, place: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
+
+
+def compact_dimension(
+    spark: SparkSession,
+    table: str,
+    most_files: int = 64,
+    target_file_bytes: int = 128 * 1024 * 1024,
+) -> bool:
+    """Rewrite a dimension of more than `most_files` files as few; True if there was a need.
+
+    The rows are written to a new folder beside the table, then one statement tells the catalog of it:
+    readers find the old rows or the new ones, and a run that is cut off before has changed nothing.
+    The folder left last stays for readers that are still in it, the one before is removed. Runs in
+    the loader of the table, as appends do: one at a time.
+    """
+    spark.catalog.refreshTable(table)
+    place = table_location(spark, table)
+    files = _data_files(spark, place)
+    size = sum(length for _, length in files)
+    wanted = max(1, -(-size // target_file_bytes))
+    if len(files) <= max(most_files, wanted):
+        return False
+    root, _, number = place.rpartition(_VERSIONS)
+    root, number = (root, int(number)) if root else (place, 0)
+    new = f"{root}{_VERSIONS}{number + 1}"
+    rows = spark.table(table)
+    # Scan splits are merged where they are read; nothing is shuffled.
+    rows.coalesce(wanted).write.mode("overwrite").parquet(new)
+    if spark.read.schema(rows.schema).parquet(new).count() != rows.count():
+        remove_folder(spark, new)
+        raise RuntimeError(f"{table} changed while it was compacted; it was not switched")
+    _switch(spark, table, new)
+    spark.catalog.refreshTable(table)
+    if number > 0:
+        remove_folder(spark, f"{root}{_VERSIONS}{number - 1}" if number > 1 else root)
+    return True
+
+
 def keep_keyless(rows: DataFrame, database: str, load_hour: str | None) -> None:
     """Keep rows (dimension, fields) that no dimension can hold, by load hour.
 
