@@ -6,6 +6,7 @@ import uuid
 import pytest
 
 from tillflow import fixed_values as V
+from tillflow.operators import star
 from tillflow.sources import tables
 
 COLUMNS = "sales_person_id string, name string"
@@ -83,3 +84,41 @@ def test_readers_see_all_rows_during_a_compaction(spark, agents):
     stop.set()
     reader.join()
     assert seen == {4}
+
+
+@pytest.mark.parametrize("broadcast_bytes", [64 * 1024 * 1024, 0])
+def test_appends_add_each_new_key_once(spark, agents, broadcast_bytes):
+    schema = "sales_person_id string, name string"
+    hours = [[("1", "Ann"), ("2", "Bob")], [], [("2", "Rob"), ("3", None)], [("1", "Eve"), ("3", "Joe")]]
+    for rows in hours:
+        tables.append_dimension(spark.createDataFrame(rows, schema), agents, broadcast_bytes)
+    kept = sorted(tuple(row) for row in spark.table(agents).collect())
+    assert kept == [("1", "Ann"), ("2", "Bob"), ("3", None)]
+
+
+def _above(plan, leaf):
+    """Names of the operators above the first line that holds `leaf`, nearest first."""
+    lines = plan.splitlines()
+    at = next(k for k, line in enumerate(lines) if leaf in line)
+    depth, names = len(lines[at]) - len(lines[at].lstrip(" :+-")), []
+    for line in reversed(lines[:at]):
+        own = len(line) - len(line.lstrip(" :+-"))
+        if own < depth:
+            depth = own
+            names.append(line.strip(" :+-"))
+    return names
+
+
+def test_few_rows_do_not_shuffle_the_table(spark, agents):
+    append(spark, agents, *range(50))
+    rows = spark.createDataFrame([("7", "known"), ("70", "new")], COLUMNS)
+    plans = {}
+    for few in (True, False):
+        fresh = star.new_rows(rows, spark.table(agents), "sales_person_id", few)
+        assert [row.sales_person_id for row in fresh.collect()] == ["70"]
+        with_plan = star.new_rows(rows, spark.table(agents), "sales_person_id", few)
+        plans[few] = with_plan._jdf.queryExecution().sparkPlan().toString()
+    above = _above(plans[True], "FileScan parquet")
+    first_join = next(k for k, name in enumerate(above) if "Join" in name)
+    assert "BroadcastHashJoin" in above[first_join] and "LeftSemi" in above[first_join]
+    assert "LeftSemi" not in plans[False]

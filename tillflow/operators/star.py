@@ -111,6 +111,14 @@ def branch_dim(branches: DataFrame) -> DataFrame:
     return one_row_per_key(branches, key, fields)
 
 
-def new_rows(dimension: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Dimension rows whose key is not in the table yet; rows once inserted never change."""
-    return dimension.join(existing.select(key), key, "left_anti")
+def new_rows(dimension: DataFrame, existing: DataFrame, key: str, few: bool = False) -> DataFrame:
+    """Dimension rows whose key is not in the table yet; rows once inserted never change.
+
+    few: the rows are known to be so few that their keys can be broadcast. Then the table is not
+    shuffled: a scan of its key column leaves those keys of the dimension that it knows, each once.
+    """
+    known = existing.select(key)
+    if few:
+        given = F.broadcast(dimension.select(key))
+        known = F.broadcast(known.join(given, key, "left_semi").distinct())
+    return dimension.join(known, key, "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tillflow import fixed_values as V
 from tillflow import schemas as S
 from tillflow.operators.star import new_rows
-from tillflow.sources.workspace import file_system, remove_folder
+from tillflow.sources.workspace import file_system, fresh_folder, remove_folder
 
 LOAD_HOUR = "load_hour"
 KEYLESS_TABLE = "rows_without_key"
@@ -85,14 +85,33 @@ def replace_fact_hour(fact: DataFrame, table: str, load_hour: str) -> None:
     )
 
 
-def append_dimension(dimension: DataFrame, table: str) -> None:
-    """Insert rows whose key the table does not hold yet; one loader per table at a time."""
+def _key_bytes(rows: DataFrame, key: str) -> int:
+    """Bytes that the keys take in a broadcast, with what each row takes besides."""
+    size = F.sum(F.octet_length(F.coalesce(F.col(key), F.lit(""))).cast("long") + 64)
+    return rows.agg(F.coalesce(size, F.lit(0))).first()[0]
+
+
+def append_dimension(
+    dimension: DataFrame, table: str, broadcast_bytes: int = 64 * 1024 * 1024
+) -> None:
+    """Insert rows whose key the table does not hold yet; one loader per table at a time.
+
+    The rows given are written to a folder first, so they are worked out once and their size is known.
+    Keys of up to `broadcast_bytes` are sent to the table, as an hour's are; more meet it in a shuffle.
+    """
     spark = dimension.sparkSession
     spark.catalog.refreshTable(table)
     key = dimension.columns[0]
-    fresh = new_rows(dimension, spark.table(table), key)
-    # Small partitions are merged, so an hour adds few files.
-    fresh.hint("rebalance").write.mode("append").format("parquet").saveAsTable(table)
+    place = fresh_folder(spark, "dimension-rows")
+    try:
+        dimension.write.parquet(place)
+        given = spark.read.schema(dimension.schema).parquet(place)
+        few = _key_bytes(given, key) <= broadcast_bytes
+        fresh = new_rows(given, spark.table(table), key, few)
+        # Small partitions are merged, so an hour adds few files.
+        fresh.hint("rebalance").write.mode("append").format("parquet").saveAsTable(table)
+    finally:
+        remove_folder(spark, place)
 
 
 def table_location(spark: SparkSession, table: str) -> str:
