@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillflow.llm.conversations import COST, FAULTS, MOST_GAPS, NEXT, PAIRS, SPACE, SPOKEN, TRUNCATED
 from tillflow.llm.embedding_dedup import THRESHOLD
 from tillflow.llm.sharding import KEY, ROUNDS, ROW_BYTES, SHARDS, _round_keys
 
@@ -177,8 +178,116 @@ FROM leaves JOIN folded USING (row) JOIN subroots ON subroots.index = leaves.tre
 JOIN tops ON tops.size = 1
 """
 
+# The cheapest edits of all turns from one on, for each state in which it may be reached: a struct of
+# cost, audit and what is said. It is read backwards, as an edit put before two audits keeps their order.
+
+
+def _before(state: str, cost: object, edit: str, said: str | None) -> str:
+    """The struct of `state`, with an edit before it that says a line or nothing."""
+    rest = f"{state}.said"
+    if said is not None:
+        rest = f"{said} || CASE WHEN {rest} = '' THEN '' ELSE chr(10) || {rest} END"
+    return f"{{'cost': {state}.cost + {cost}, 'audit': '{edit}' || {state}.audit, 'said': {rest}}}"
+
+
+def _spoken_after(state: int) -> str:
+    return next(x for x in SPOKEN if (state, x) in NEXT)
+
+
+def _edited(state: int) -> str:
+    """Cheapest way to treat a turn that is met in this state."""
+    ways = [_before(f"f{state}", COST["D"], "D", None)]
+    keeps = [(x, after) for (at, x), after in NEXT.items() if at == state]
+    for initial, after in keeps:
+        kept = _before(f"f{after}", f"{COST['K']} + more", "K", "role || ':' || text")
+        ways.append(f"CASE WHEN NOT gone AND initial = '{initial}' THEN {kept} END")
+    spoken = _spoken_after(state)
+    other = _before(
+        f"f{NEXT[state, spoken]}", f"{COST['R']} + more", "R", f"'{SPOKEN[spoken]}:' || text"
+    )
+    ways.append(f"CASE WHEN NOT gone THEN {other} END")
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _inserted(state: int, most: int) -> str:
+    """Cheapest way on from this state, with up to `most` turns inserted first."""
+    ways, letters, said, at = [f"g{state}"], "", "", state
+    for k in range(1, most + 1):
+        spoken = _spoken_after(at)
+        at, letters = NEXT[at, spoken], letters + "I"
+        said += (" || chr(10) || " if said else "") + f"'{SPOKEN[spoken]}:'"
+        ways.append(_before(f"g{at}", k * COST["I"], letters, said))
+    return f"list_min([{', '.join(ways)}])"
+
+
+_WORTH = "STRUCT(cost BIGINT, audit VARCHAR, said VARCHAR)"
+# Behind the last turn: nothing is left to say, or what the pattern still asks for.
+_ENDS = (
+    "{'cost': 0, 'audit': '', 'said': ''}",
+    f"{{'cost': {2 * COST['I']}, 'audit': 'II', 'said': 'user:' || chr(10) || 'assistant:'}}",
+    f"{{'cost': {COST['I']}, 'audit': 'I', 'said': 'assistant:'}}",
+    "{'cost': 0, 'audit': '', 'said': ''}",
+)
+
+CONVERSATION_REPAIR = f"""
+WITH RECURSIVE {_CRC_TABLE}, chosen AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % {FAULTS}
+      AS kind
+  FROM conversations, crc_table
+), ids AS (
+  SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS id
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+), damaged AS (
+  SELECT id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM chosen JOIN ids ON chosen.conv_id IS NOT DISTINCT FROM ids.conv_id
+  WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY turn NULLS FIRST, role, text, copy) AS place
+  FROM damaged
+), marked AS (
+  SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^{SPACE}]') AS blank,
+    row_number() OVER (PARTITION BY id, role, text ORDER BY place) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][{SPACE}]*\\z') AS cut,
+    lag(left(role, 1)) OVER (PARTITION BY id ORDER BY place) AS before
+  FROM placed
+), facts AS MATERIALIZED (
+  SELECT id, turn, role, text, place, initial, blank, again AND NOT blank AS duplicate,
+    cut AND NOT blank AND NOT again AS truncated, blank OR again AS gone,
+    CASE WHEN cut AND NOT blank AND NOT again THEN {TRUNCATED} ELSE 0 END AS more,
+    before IS NOT NULL AND before || initial NOT IN {PAIRS} AS illegal
+  FROM marked
+), counts AS (
+  SELECT id, max(place) AS turns,
+    least(coalesce(max(turn)::HUGEINT - min(turn) + 1 - count(DISTINCT turn), 0), {MOST_GAPS})::BIGINT
+      AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+    count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM facts GROUP BY id
+), best AS (
+  SELECT id, turns AS place,
+    {", ".join(f"{end}::{_WORTH} AS f{k}" for k, end in enumerate(_ENDS))}
+  FROM counts
+  UNION ALL
+  SELECT id, place - 1,
+    {", ".join(f"{_inserted(k, 2 if k < 2 else 1)}::{_WORTH}" for k in range(4))}
+  FROM (
+    SELECT best.id, best.place, {", ".join(f"{_edited(k)} AS g{k}" for k in range(4))}
+    FROM best JOIN facts ON facts.id = best.id AND facts.place = best.place
+  )
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(f0.cost, 0) AS cost, coalesce(f0.audit, '') AS audit,
+  sha256(coalesce(f0.said, '')) AS repaired_sha256
+FROM ids LEFT JOIN counts USING (id) LEFT JOIN (SELECT id, f0 FROM best WHERE place = 0) USING (id)
+"""
+
 SQL: dict[str, str] = {
     "op1_embedding_dedup": EMBEDDING_DEDUP,
     "op7_sharding": SHARDING,
     "op11_merkle_manifest": MERKLE_MANIFEST,
+    "op12_conversation_repair": CONVERSATION_REPAIR,
 }
