@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tillflow.llm import substring_dedup
 from tillflow.llm import packing
 from tillflow.llm.queries import QUERIES
 
@@ -55,3 +56,12 @@ def test_packing_of_texts_that_hash_near_the_end_of_the_range(spark):
     assert docs.select(F.max(F.xxhash64("text") - (1 << 62))).first()[0] > (1 << 62) - (1 << 36)
     rows = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).collect()
     assert sorted(r.doc_id for r in rows if r.start == 0) == list(range(28))
+
+
+def test_equal_texts_repeat_the_first_whole(spark):
+    long, other = (" ".join(f"{w}{k}" for k in range(60)) for w in ("a", "b"))
+    rows = [(5, long), (3, long), (9, long), (9, long), (9, other), (4, "short text"), (6, "short text")]
+    rows += [(2, other + " tail"), (7, None), (None, long)]
+    found = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    spans = sorted((r.doc_id, [tuple(s) for s in r.spans], list(r.first_ids)) for r in found.collect())
+    assert spans == [(5, [(0, 60)], [3]), (9, [(0, 60)], [2]), (9, [(0, 60)], [3])]
