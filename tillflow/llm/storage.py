@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.sources.workspace import fresh_folder
+from tillflow.sources.workspace import fresh_folder, remove_folder
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -18,6 +18,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove what `written` stored for df, once all that is read from it is written too."""
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        remove_folder(df.sparkSession, folder)
+
+
 def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
