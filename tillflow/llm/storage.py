@@ -8,13 +8,23 @@ from pyspark.sql import functions as F
 from tillflow.sources.workspace import fresh_folder, remove_folder
 
 
+# What a write has shuffled is removed as it ends; nothing reads it later.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows of df, written once as Parquet to the storage that all executors share.
 
     Cuts the lineage: a lost executor costs the tasks it ran, not the steps before.
     """
     path = fresh_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
