@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import entry_oracle
@@ -318,6 +318,34 @@ def quarantine_events(spark, folder):
     return events.quarantine_events(_parsed_events(spark, folder, junk=True))
 
 
+def _write_counted(parsed: DataFrame, path: str) -> None:
+    """Each record once, with its hour, whether it is good, and how often it came."""
+    counted = parsed.groupBy(
+        *landing.PARTITIONS, F.col(events.REJECT_REASON).isNull().alias("good"), events.RAW_VALUE
+    ).agg(F.count("*").alias("copies"))
+    counted.write.parquet(path)
+
+
+def _in_halves(counted: DataFrame) -> DataFrame:
+    """Records as `value` with a `half`; both have some of each hour with two good events or more.
+
+    No hour is sorted or numbered in one task, nor are the records without an hour: a hash deals
+    them out, and the records of an hour with the least and the greatest hash go one to each half.
+    """
+    mark = F.xxhash64(events.RAW_VALUE)
+    ends = (
+        counted.where("good")
+        .groupBy(landing.PARTITIONS)
+        .agg(F.min(mark).alias("least"), F.max(mark).alias("greatest"))
+    )
+    copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    # One row of four numbers per hour, for the records of that hour.
+    records = counted.join(F.broadcast(ends), landing.PARTITIONS, "left").withColumn("copy", copy)
+    turn = F.when(mark == F.col("least"), 0).when(mark == F.col("greatest"), 1).otherwise(mark)
+    half = F.pmod(F.pmod(turn, F.lit(2)) + F.col("copy"), F.lit(2))
+    return records.select(F.col(events.RAW_VALUE).alias("value"), half.alias("half"))
+
+
 def _landed_events(spark, folder):
     """Events, some of them junk, streamed in two runs from text files; folder of what landed.
 
@@ -326,14 +354,10 @@ def _landed_events(spark, folder):
     """
     base = fresh_folder(spark, "events")
     parsed = events.parse_events(tpch.event_records(spark, folder, junk=True))
-    same = Window.partitionBy(*landing.PARTITIONS, F.col(events.REJECT_REASON).isNull())
-    halves = parsed.select(
-        F.col("raw_value").alias("value"),
-        (F.row_number().over(same.orderBy("raw_value")) % 2).alias("half"),
-    )
-    halves.write.partitionBy("half").parquet(f"{base}/halves")
+    _write_counted(parsed, f"{base}/counted")
+    halves = _in_halves(spark.read.parquet(f"{base}/counted"))
     for half in (1, 0):
-        lines = spark.read.parquet(f"{base}/halves").where(F.col("half") == half).select("value")
+        lines = halves.where(F.col("half") == half).select("value")
         lines.write.mode("append").text(f"{base}/incoming")
         source = events.event_source(spark, "text", {}, path=f"{base}/incoming")
         landing.land_events(

@@ -1,0 +1,42 @@
+"""Splitting test events in two, for landings of two runs."""
+
+import json
+
+import __spark_entry__ as entry
+from tillflow.streaming import events
+
+
+def record(hour, customer):
+    body = {"eventType": "view", "customerId": customer, "timestamp": f"2024-01-01T{hour:02}:00:00"}
+    return json.dumps(body)
+
+
+def halves_of(spark, tmp_path, values):
+    parsed = events.parse_events(spark.createDataFrame([(v,) for v in values], "value string"))
+    entry._write_counted(parsed, str(tmp_path / "counted"))
+    return entry._in_halves(spark.read.parquet(str(tmp_path / "counted")))
+
+
+def test_each_hour_of_two_events_or_more_is_in_both_halves(spark, tmp_path):
+    values = [record(0, "one"), "junk", "junk", "other junk", None]
+    # Hours of two events, different ones and equal ones, and of more.
+    for hour in range(1, 12):
+        values += [record(hour, f"a{hour}"), record(hour, f"b{hour}")]
+    values += [record(12, "same")] * 2 + [record(13, "same")] * 3 + [record(14, "x")]
+    values += [record(14, "y")] * 2
+    rows = halves_of(spark, tmp_path, values).collect()
+    assert sorted(str(row.value) for row in rows) == sorted(map(str, values))
+    found = {}
+    for row in rows:
+        if row.value and "timestamp" in row.value:
+            found.setdefault(json.loads(row.value)["timestamp"], set()).add(row.half)
+    assert found.pop("2024-01-01T00:00:00") < {0, 1}
+    assert len(found) == 14 and all(both == {0, 1} for both in found.values())
+
+
+def test_records_without_an_hour_are_not_numbered_in_one_task(spark, tmp_path):
+    halves = halves_of(spark, tmp_path, [f"junk {k}" for k in range(400)])
+    plan = halves._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan
+    sizes = [row["count"] for row in halves.groupBy("half").count().collect()]
+    assert len(sizes) == 2 and min(sizes) > 100

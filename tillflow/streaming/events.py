@@ -9,7 +9,7 @@ from tillflow import schemas as S
 REJECT_REASON = "reject_reason"
 # A file source drops files a week older than the newest one it saw, unless told otherwise.
 ANY_AGE = "36500d"
-_RAW = "raw_value"
+RAW_VALUE = "raw_value"
 _UNREADABLE = "_unreadable"
 
 
@@ -46,10 +46,10 @@ def parse_events(records: DataFrame) -> DataFrame:
     # As a generated row, so that filters on several fields decode a record once, not
     # once per field.
     decoded = records.select(
-        value.alias(_RAW), F.inline(F.array(F.from_json(value, schema, options)))
+        value.alias(RAW_VALUE), F.inline(F.array(F.from_json(value, schema, options)))
     )
     flat = decoded.select(
-        _RAW,
+        RAW_VALUE,
         _UNREADABLE,
         "eventType",
         "customerId",
@@ -71,11 +71,11 @@ def parse_events(records: DataFrame) -> DataFrame:
         *S.EVENT_COLUMNS,
         F.to_date("timestamp").alias("event_date"),
         F.hour("timestamp").alias("event_hour"),
-        F.when(F.col(_RAW).isNull() | F.col(_UNREADABLE).isNotNull(), "unreadable")
+        F.when(F.col(RAW_VALUE).isNull() | F.col(_UNREADABLE).isNotNull(), "unreadable")
         .when(~has_time, "no event time")
         .when(~has_amount, "no finite amount")
         .alias(REJECT_REASON),
-        _RAW,
+        RAW_VALUE,
     )
 
 
@@ -86,4 +86,4 @@ def good_events(parsed: DataFrame) -> DataFrame:
 
 def quarantine_events(parsed: DataFrame) -> DataFrame:
     """Records set aside, as they came, with the reason."""
-    return parsed.where(F.col(REJECT_REASON).isNotNull()).select(_RAW, REJECT_REASON)
+    return parsed.where(F.col(REJECT_REASON).isNotNull()).select(RAW_VALUE, REJECT_REASON)
