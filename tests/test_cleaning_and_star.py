@@ -194,3 +194,22 @@ def test_a_name_goes_before_no_name(spark):
         [("1", None), ("1", "Bob")], "sales_person_id string, name string"
     )
     assert [tuple(row) for row in star.sales_agent_dim(agents).collect()] == [("1", "Bob")]
+
+
+def test_lines_of_one_sale_are_dealt_out_together_and_equal_ones_are_one(spark):
+    raw = raw_sales(spark, {}, {"product_id": "0100"}, {"product_id": "101"}, {"product_id": None})
+    clean = cleaning.clean_sales(cleaning.union_batches(raw, raw))
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert "hashpartitioning(transaction_id" in plan and "REPARTITION_BY_COL" in plan
+    assert sorted(row.product_id or "" for row in clean.collect()) == ["", "100", "101"]
+
+
+def test_copies_of_lines_change_no_dimension_and_need_no_shuffle_of_lines(spark):
+    raw = raw_sales(spark, {}, {}, {"customer_id": "11", "customer_fname": "Bo"})
+    lines = cleaning.with_address_parts(cleaning.clean_lines(raw))
+    for dimension in (star.customer_dim, star.product_dim):
+        plan = dimension(lines)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1
+        assert dimension(lines).exceptAll(dimension(cleaning.clean_sales(raw))).isEmpty()
+        assert dimension(lines).count() == dimension(cleaning.clean_sales(raw)).count()

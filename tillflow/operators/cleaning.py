@@ -17,13 +17,15 @@ def union_batches(first: DataFrame, *rest: DataFrame) -> DataFrame:
     return united
 
 
-def clean_sales(raw: DataFrame) -> DataFrame:
-    """Trimmed, renamed, de-duplicated sales lines with parsed offers and address parts.
+# Lines of one sale agree in these; equal lines do in any case.
+_SALE = ("transaction_id", "transaction_date", "customer_id")
+
+
+def clean_lines(raw: DataFrame) -> DataFrame:
+    """Trimmed, renamed sales lines with parsed offers, copies kept.
 
     Values stay text (offers aside), each in one spelling, as the columns of one
-    drop may disagree in type. One projection and one shuffle: the address is split
-    behind the de-duplication, since its parts depend on a column that is already
-    in the key.
+    drop may disagree in type.
     """
     renamed = raw.select(list(V.SALES_COLUMNS)).withColumnsRenamed(V.SALES_RENAMES)
     columns = []
@@ -36,9 +38,22 @@ def clean_sales(raw: DataFrame) -> DataFrame:
         elif name in S.SALES_TEXT_TYPES:
             text = canonical(text, S.SALES_TEXT_TYPES[name])
         columns.append(text.alias(name))
-    return renamed.select(columns).dropDuplicates().withColumns(
-        split_address(F.col("shipping_address"))
-    )
+    return renamed.select(columns)
+
+
+def with_address_parts(lines: DataFrame) -> DataFrame:
+    """Sales lines with the parts of their address."""
+    return lines.withColumns(split_address(F.col("shipping_address")))
+
+
+def clean_sales(raw: DataFrame) -> DataFrame:
+    """Clean lines, each once, with address parts.
+
+    One projection and one shuffle. Lines are dealt out by their sale, not by all columns: those of
+    one sale stay side by side, so that the texts they share compress. The address is split behind
+    the de-duplication, since its parts depend on a column that is already in the key.
+    """
+    return with_address_parts(clean_lines(raw).repartition(*_SALE).dropDuplicates())
 
 
 def _clean_lookup(raw: DataFrame, columns, types) -> DataFrame:

@@ -15,6 +15,12 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 SHUFFLE_BYTES = 128 * 1024 * 1024
+# Sales lines take some ten times their shuffled bytes as rows of text in sorts and hash tables,
+# and all shuffles of a plan some four times the bytes of the tables they come from.
+TASK_BYTES = 16 * 1024 * 1024
+_SHUFFLED_PER_INPUT = 4
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def partitions_for(input_bytes: int, least: int = 200) -> int:
@@ -37,3 +43,18 @@ def build_session(
     for key, value in merged.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def size_tasks(spark: SparkSession, input_bytes: int) -> None:
+    """Let the tasks of the session's next plans take `TASK_BYTES` of shuffled rows each, or less.
+
+    The shuffle partitions to start from grow with the input and are merged up to that size at run
+    time, so that the memory of one task does not grow with the input.
+    """
+    before = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get(_ADVISORY, None) or "64m"
+    )
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-input_bytes * _SHUFFLED_PER_INPUT // TASK_BYTES)
+    spark.conf.set(_ADVISORY, str(min(before, TASK_BYTES)))
+    spark.conf.set(_INITIAL, str(max(least, wanted)))

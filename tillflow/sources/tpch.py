@@ -15,6 +15,7 @@ from tillflow import schemas as S
 from tillflow.functions.flags import discount_percentage, yes_no_flag
 from tillflow.functions.money import total_paid_price
 from tillflow.functions.text import split_address
+from tillflow.sources.workspace import file_system
 
 # Words the apps send.
 _CATEGORIES = ("Electronics", "Clothing", "Home & Kitchen", "Books")
@@ -27,6 +28,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def input_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of the tables that grow with the shop."""
+    total = 0
+    for name in ("customer", "supplier", "part", "orders", "lineitem", "events"):
+        system, place = file_system(spark, f"{folder}/{name}.parquet")
+        if system.exists(place):
+            total += system.getContentSummary(place).getLength()
+    return total
+
+
 def _offers() -> dict[str, Column]:
     """Overlapping offer conditions, so that their precedence matters."""
     # From 9, 7, 5, 3 and 1 percent on, with a border between two percents.
@@ -54,21 +65,24 @@ def _address() -> Column:
 
 
 def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Sales lines as a raw drop holds them."""
+    """Sales lines as a raw drop holds them.
+
+    The texts of an order and its customer join last, to lines that hold what else they need: the
+    lines, the largest table, are shuffled while they are narrow, and come out order by order.
+    """
     places = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
+    customers = table(spark, folder, "customer").join(
+        places, F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    orders = table(spark, folder, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
     lines = (
         table(spark, folder, "lineitem")
-        # Orders grow with the lines; a merge join does not depend on their size.
-        .join(
-            table(spark, folder, "orders").hint("merge"),
-            F.col("l_orderkey") == F.col("o_orderkey"),
-        )
-        .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        # Orders grow with the lines; a merge join does not depend on their size.
+        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     )
     columns = {
         "transaction_id": F.col("l_orderkey"),
