@@ -54,17 +54,31 @@ def _fact(spark, folder):
 # Cleaning -----------------------------------------------------------------
 
 
+# Files of a drop are packed; readers unpack them by their names.
+_DROP_OPTIONS = {
+    "header": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "compression": "gzip",
+}
+
+
 def _write_drop(raw: DataFrame, folder: str, kind: str, number: int = 1) -> None:
-    keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    raw.write.options(header=True, **keep_blanks).csv(f"{folder}/{kind}_{number}.csv")
+    raw.write.options(**_DROP_OPTIONS).csv(f"{folder}/{kind}_{number}.csv")
 
 
 def _write_sales_drops(spark, folder, base):
-    """Raw sales as drops of two groups."""
+    """Raw sales as drops of two groups, in one pass: `group=1/<kind>_file=1.csv` and `group=2/...`.
+
+    Each group drops a file with a header alone besides, so that one without sales has a file, too.
+    """
     raw = tpch.raw_sales(spark, folder)
-    online = F.col("is_online") == V.ONLINE_WORD
-    _write_drop(raw.where(online), f"{base}/group1", V.SALES_KIND)
-    _write_drop(raw.where(~online), f"{base}/group2", V.SALES_KIND)
+    for group in (1, 2):
+        _write_drop(spark.createDataFrame([], raw.schema), f"{base}/group={group}", V.SALES_KIND, 0)
+    group = F.when(F.col("is_online") == V.ONLINE_WORD, 1).otherwise(2)
+    grouped = raw.withColumns({"group": group, f"{V.SALES_KIND}_file": F.lit("1.csv")})
+    writer = grouped.write.mode("append").options(**_DROP_OPTIONS)
+    writer.partitionBy("group", f"{V.SALES_KIND}_file").csv(base)
 
 
 def csv_sales_scan(spark, folder):
