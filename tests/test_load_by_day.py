@@ -1,0 +1,55 @@
+"""The load that deals lines out by day."""
+
+from pathlib import Path
+
+import __spark_entry__ as entry
+from pyspark.sql import functions as F
+from test_loading import sale_line, write_file
+
+from tillflow import fixed_values as V
+from tillflow import jobs
+from tillflow.operators import cleaning, star
+from tillflow.sources import tpch
+from tillflow.sources.workspace import fresh_folder
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_the_fact_holds_each_line_once(spark):
+    """Lines that differ in a text the fact lacks, or in null and empty, are lines of their own."""
+    raw = tpch.raw_sales(spark, FOLDER)
+    other = raw.withColumn("product_name", F.lit("another")).limit(50)
+    empty = raw.withColumn("payment_method", F.lit("")).limit(50)
+    null = raw.withColumn("payment_method", F.lit(None).cast("string")).limit(50)
+    undated = raw.withColumn("transaction_date", F.lit("some day")).limit(50)
+    united = cleaning.union_batches(raw, raw, other, empty, null, undated)
+    path = fresh_folder(spark, "lines")
+    cleaning.clean_lines(united).write.parquet(path)
+    fact = star.fact_of_lines(spark.read.parquet(path))
+    expected = star.fact_projection(
+        cleaning.with_address_parts(spark.read.parquet(path).dropDuplicates())
+    )
+    assert fact.columns == expected.columns and fact.count() == expected.count()
+    assert fact.exceptAll(expected).count() == 0
+
+
+def test_a_load_writes_few_files_a_day(spark, tmp_path):
+    """8 files of one hour, each with a line of each of 30 days."""
+    hour = tmp_path / "2022" / "01" / "16" / "05"
+    at = V.SALES_COLUMNS.index("transaction_id")
+    when = V.SALES_COLUMNS.index("transaction_date")
+    for number in range(8):
+        lines = []
+        for day in range(1, 31):
+            line = list(sale_line())
+            line[at], line[when] = str(1000 * number + day), f"2022-01-{day:02d}"
+            lines.append(line)
+        write_file(hour / "g" / f"{V.SALES_KIND}_{number}.csv", V.SALES_COLUMNS, *lines)
+    write_file(hour / "g" / f"{V.AGENTS_KIND}_1.csv", V.AGENT_COLUMNS, ["5", "Bob"])
+    write_file(hour / "g" / f"{V.BRANCHES_KIND}_1.csv", V.BRANCH_COLUMNS, ["3", "A", "Giza"])
+    jobs.load_hour(spark, str(tmp_path), entry._DROP_HOUR, "by_day")
+    fact = spark.table(f"by_day.{V.FACT_TABLE}")
+    assert fact.count() == 240
+    assert len(fact.inputFiles()) <= 60
+    stored = [Path(f.removeprefix("file:")).parent.name for f in fact.inputFiles()]
+    assert len(set(stored)) == 30

@@ -10,6 +10,7 @@ from tillflow import fixed_values as V
 from tillflow import schemas as S
 from tillflow.operators import cleaning, maintenance, star, versions
 from tillflow.plans.b2b import daily_report_order, daily_sales_dump
+from tillflow.session import small_splits
 from tillflow.sources import tables
 from tillflow.sources.drops import hour_folder, scan_drop
 from tillflow.sources.reports import write_csv_report
@@ -32,20 +33,22 @@ def load_batch(
     """Clean one batch and load it into the fact and the four dimensions.
 
     With `load_hour` a rerun replaces the hour's facts, without it facts are appended.
-    The cleaned batch feeds several tables: it is written once to a folder all executors share,
-    which is removed at the end. Rows that enter no dimension, as they have no key, are kept in
-    a table of their own.
+    The cleaned lines feed several tables: they are written once, as they come, to a folder all
+    executors share, which is removed at the end. Copies are taken out where they matter. Rows that
+    enter no dimension, as they have no key, are kept in a table of their own.
     """
     folder = fresh_folder(spark, "clean-sales")
     try:
-        cleaning.clean_sales(sales).write.parquet(folder)
-        clean = spark.read.parquet(folder)
-        fact = star.fact_projection(clean)
+        cleaning.clean_lines(sales).write.parquet(folder, compression="zstd")
+        lines = spark.read.parquet(folder)
+        fact = star.fact_of_lines(lines)
         fact_table = tables.create_fact_table(spark, database, by_load_hour=load_hour is not None)
-        if load_hour is None:
-            tables.append_fact(fact, fact_table)
-        else:
-            tables.replace_fact_hour(fact, fact_table, load_hour)
+        with small_splits(spark):
+            if load_hour is None:
+                tables.append_fact(fact, fact_table, grouped=True)
+            else:
+                tables.replace_fact_hour(fact, fact_table, load_hour, grouped=True)
+        clean = cleaning.with_address_parts(lines)
         sources = {
             V.CUSTOMER_TABLE: (clean, star.customer_dim),
             V.PRODUCT_TABLE: (clean, star.product_dim),
@@ -56,12 +59,13 @@ def load_batch(
             table = tables.create_dimension_table(spark, database, name)
             tables.append_dimension(dimension(rows), table)
             tables.compact_dimension(spark, table)
-        keyless = [
-            star.without_key(rows, S.DIMENSION_COLUMNS[name][0]).select(
-                F.lit(name).alias("dimension"), F.to_json(F.struct("*")).alias("fields")
+        keyless = []
+        for name, (rows, _) in sources.items():
+            lost = star.without_key(rows, S.DIMENSION_COLUMNS[name][0])
+            lost = lost.dropDuplicates() if rows is clean else lost
+            keyless.append(
+                lost.select(F.lit(name).alias("dimension"), F.to_json(F.struct("*")).alias("fields"))
             )
-            for name, (rows, _) in sources.items()
-        ]
         tables.keep_keyless(reduce(DataFrame.unionByName, keyless), database, load_hour)
     finally:
         remove_folder(spark, folder)

@@ -28,8 +28,11 @@ def with_paid_price(sales: DataFrame) -> DataFrame:
     )
 
 
-def fact_projection(sales: DataFrame) -> DataFrame:
-    """Clean sales lines as rows of the fact table; `transaction_date` is `yyyy-MM-dd` or null."""
+def fact_projection(sales: DataFrame, *further: str) -> DataFrame:
+    """Clean sales lines as rows of the fact table; `transaction_date` is `yyyy-MM-dd` or null.
+
+    further: columns to keep besides.
+    """
     priced = with_paid_price(sales).withColumns(
         {
             "is_online": yes_no_flag(F.col("is_online")),
@@ -38,8 +41,23 @@ def fact_projection(sales: DataFrame) -> DataFrame:
     )
     return priced.select(
         [F.col(name).cast(type_name).alias(name) for name, type_name in S.FACT_COLUMNS.items()]
-        + [F.col(S.FACT_PARTITION)]
+        + [F.col(S.FACT_PARTITION), *further]
+    )
+
+
+def fact_of_lines(lines: DataFrame) -> DataFrame:
+    """Rows of the fact table from clean lines with copies, each line once; a date lies in few tasks.
+
+    Only the fact's columns are shuffled, with a digest of the whole line that tells lines apart. They
+    are dealt out in ranges of date and sale, for which the lines are read once more: small dates share
+    a task, a hot one is in as many as its size asks for.
+    """
+    # Nulls are left out of the text, so they differ from empty texts.
+    digest = F.unhex(F.md5(F.to_json(F.struct("*")))).alias("line")
+    dealt = fact_projection(lines.select("*", digest), "line").repartitionByRange(
+        S.FACT_PARTITION, "transaction_id", "line"
     )
+    return dealt.dropDuplicates().drop("line")
 
 
 def one_row_per_key(df: DataFrame, key: str, fields, order=()) -> DataFrame:

@@ -59,10 +59,13 @@ def _grouped_by_date(fact: DataFrame) -> DataFrame:
     return fact.hint("rebalance", S.FACT_PARTITION)
 
 
-def append_fact(fact: DataFrame, table: str) -> None:
-    """Append rows to the date partitions they belong to; a rerun appends them again."""
+def append_fact(fact: DataFrame, table: str, grouped: bool = False) -> None:
+    """Append rows to the date partitions they belong to; a rerun appends them again.
+
+    grouped: as in `replace_fact_hour`.
+    """
     (
-        _grouped_by_date(fact)
+        (fact if grouped else _grouped_by_date(fact))
         .write.mode("append")
         .format("parquet")
         .partitionBy(S.FACT_PARTITION)
@@ -70,13 +73,17 @@ def append_fact(fact: DataFrame, table: str) -> None:
     )
 
 
-def replace_fact_hour(fact: DataFrame, table: str, load_hour: str) -> None:
+def replace_fact_hour(
+    fact: DataFrame, table: str, load_hour: str, grouped: bool = False
+) -> None:
     """Write the rows of one load hour; a rerun replaces what that hour wrote before.
 
     Needs a table made with `by_load_hour`. The hour is a static partition, so dates
     that an earlier run wrote and this one does not are removed as well.
+
+    grouped: the rows of a date lie in few tasks already; they are not shuffled again.
     """
-    rows = _grouped_by_date(fact).select(*S.FACT_COLUMNS, S.FACT_PARTITION)
+    rows = (fact if grouped else _grouped_by_date(fact)).select(*S.FACT_COLUMNS, S.FACT_PARTITION)
     fact.sparkSession.sql(
         f"INSERT OVERWRITE TABLE {table}"
         f" PARTITION ({LOAD_HOUR} = '{load_hour}', {S.FACT_PARTITION})"
