@@ -15,6 +15,9 @@ million; all pairs that share one are settled exactly, without listing the pairs
 2. In each bucket one member, drawn by hash, is compared with every other.
 3. Where that leaves a bucket in several components, the members outside its largest component are
    compared with those of other components in it. Members of one component need no comparison.
+   Before, members of a large bucket are compared with the one that has most in shingles of many
+   texts, and with those they share shingles of few texts with; of other pairs in it, those are
+   compared that have enough in shingles of many texts to be as similar.
 
 Comparisons are left out where 160 bits of the signatures differ so much that a similarity of 0.8 is
 more than five standard deviations away; all others are by exact weighted Jaccard similarity.
@@ -43,6 +46,9 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 32, 5
 COORDINATES = BANDS * BAND_ROWS
 _LONGS = -(-COORDINATES // 64)
+# Members of a bucket, or texts that have a shingle, that are paired as they are.
+FEW = 128
+_ROUNDING = 1e-6
 _U64 = np.uint64
 
 
@@ -191,6 +197,22 @@ def _compared(batches):
             )
 
 
+def _listed(batches):
+    """The shingles of each text and how often it has them."""
+    for batch in batches:
+        text = batch.column("text")
+        for a, b in slices(text, 1 << 20):
+            (codes, of, weights), _ = _elements(text.slice(a, b - a))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id").slice(a, b - a).take(pa.array(of)),
+                    pa.array(codes.view(np.int64)),
+                    pa.array(weights),
+                ],
+                ["id", "code", "weight"],
+            )
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     of_a = texts.select(F.col("id").alias("a"), F.col("text").alias("u"))
     of_b = texts.select(F.col("id").alias("b"), F.col("text").alias("v"))
@@ -275,17 +297,20 @@ def _placed(docs: DataFrame, similarity: float) -> DataFrame:
         .distinct()
     )
     links = _verified(drawn, texts, similarity)
-    found = components(links)
-    rest = _verified(_strays(members, found, bits), texts, similarity)
-    found = components(links.union(rest))
+    mixed = _mixed(members, components(links))
+    shares, by_few = _by_shingles(mixed, texts, similarity)
+    near = by_few.union(_central(mixed, shares, similarity)).distinct()
+    links = links.union(_verified(near, texts, similarity))
+    rest = _strays(_mixed(members, components(links)), shares, similarity)
+    found = components(links.union(_verified(rest, texts, similarity)))
     known = written(_named(classes, found), "text-known")
     return signed.join(known, "text_key", "left").select(
         "doc_id", "text_key", "group", "component_id"
     )
 
 
-def _strays(members: DataFrame, found: DataFrame, bits: int) -> DataFrame:
-    """Pairs in buckets of several components that were not compared with one another."""
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of buckets of several components, with the size of the bucket and its largest."""
     placed = written(
         members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")),
         "text-placed",
@@ -296,34 +321,105 @@ def _strays(members: DataFrame, found: DataFrame, bits: int) -> DataFrame:
         .groupBy("band")
         .agg(
             F.count("*").alias("parts"),
+            F.sum("count").alias("size"),
             F.max(F.struct("count", "component"))["component"].alias("largest"),
         )
         .where("parts > 1")
-        .select("band", "largest")
+        .select("band", "size", "largest")
     )
-    mixed = written(placed.join(written(largest, "text-mixed"), "band"), "text-strays")
-    mixed = mixed.where("id <> rep")
-    stray = mixed.where("component <> largest").select(
-        F.col("band").alias("x_band"),
-        F.col("id").alias("x"),
-        F.col("component").alias("x_component"),
-        F.col("bits").alias("x_bits"),
+    return written(placed.join(written(largest, "text-mixed"), "band"), "text-strays")
+
+
+def _central(mixed: DataFrame, shares: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of each member of a large bucket with the one that has most in frequent shingles."""
+    shared = mixed.where(F.col("size") > FEW).join(shares, "id")
+    shared = written(shared.select("band", "id", "component", "total", "common"), "text-shared")
+    centre = shared.groupBy("band").agg(
+        F.max(F.struct("common", "id", "component", "total")).alias("centre")
     )
-    other = mixed.select(
-        F.col("band").alias("y_band"),
-        F.col("id").alias("y"),
-        F.col("component").alias("y_component"),
-        F.col("bits").alias("y_bits"),
+    most = F.least("common", "centre.common")
+    return (
+        shared.join(written(centre, "text-centres"), "band")
+        .where(F.col("component") != F.col("centre.component"))
+        .where(most >= _shared_at(similarity, F.col("total"), F.col("centre.total")))
+        .select(*_ordered("id", "centre.id"))
     )
-    close = different_bits(F.col("x_bits"), F.col("y_bits")) <= bits
+
+
+def _strays(mixed: DataFrame, shares: DataFrame, similarity: float) -> DataFrame:
+    """Pairs in buckets of several components that were not compared with one another.
+
+    Members of a bucket of more than FEW are paired with one another only where their frequent
+    shingles leave the similarity possible.
+    """
+    # In a large bucket all have shares; those that frequent shingles bring to no other are out.
+    possible = F.col("common") >= similarity * F.col("total") - _ROUNDING
+    mixed = mixed.where("id <> rep").join(shares, "id", "left")
+    mixed = mixed.where((F.col("size") <= FEW) | possible)
+    columns = ("band", "id", "component", "bits", "common", "total")
+    stray = mixed.where("component <> largest").select(*[F.col(c).alias(f"x_{c}") for c in columns])
+    other = mixed.select(*[F.col(c).alias(f"y_{c}") for c in columns])
+    close = different_bits(F.col("x_bits"), F.col("y_bits")) <= most_different_bits(similarity)
     apart = F.col("x_component") != F.col("y_component")
+    unknown = F.col("x_common").isNull() | F.col("y_common").isNull()
+    needed = _shared_at(similarity, F.col("x_total"), F.col("y_total"))
+    within = unknown | (F.least("x_common", "y_common") >= needed)
     return (
-        stray.join(other, (F.col("x_band") == F.col("y_band")) & apart & close)
-        .select(*_ordered("x", "y"))
+        stray.join(other, (F.col("x_band") == F.col("y_band")) & apart & close & within)
+        .select(*_ordered("x_id", "y_id"))
         .distinct()
     )
 
 
+def _shared_at(similarity: float, total: Column, other: Column) -> Column:
+    """The weight that texts of these weights have in common at this similarity."""
+    return (total + other) * (similarity / (1 + similarity)) - _ROUNDING
+
+
+def _by_shingles(
+    mixed: DataFrame, texts: DataFrame, similarity: float
+) -> tuple[DataFrame, DataFrame]:
+    """What shingles allow the texts in large buckets: two texts have no more weight in common than
+    the lesser of their weights in frequent shingles, and what they share of others.
+
+    Gives id, total and common, its weight in shingles that more than FEW of these texts have; and
+    the pairs of different components that share others and can be as similar. A shingle of few
+    texts makes at most FEW pairs for each of them, so both grow as the texts do.
+    """
+    crowded = mixed.where(F.col("size") > FEW).select("id", "component").distinct()
+    crowded = written(crowded, "text-crowded")
+    listed = written(
+        texts.join(crowded.select("id"), "id").mapInArrow(_listed, "id long, code long, weight long"),
+        "crowded-shingles",
+    )
+    few = listed.groupBy("code").agg(F.count("*").alias("texts")).where(F.col("texts") <= FEW)
+    few = written(listed.join(few.hint("merge"), "code"), "few-shingles")
+    uncommon = few.groupBy("id").agg(F.sum("weight").alias("uncommon"))
+    shares = written(
+        listed.groupBy("id")
+        .agg(F.sum("weight").alias("total"))
+        .join(uncommon, "id", "left")
+        .select("id", "total", (F.col("total") - F.coalesce("uncommon", F.lit(0))).alias("common")),
+        "crowded-shares",
+    )
+    sides = few.where("texts > 1").join(crowded, "id").join(shares, "id")
+    sides = written(sides.select("code", "id", "component", "weight", "total", "common"), "few-sides")
+    x, y = sides.alias("x"), sides.alias("y")
+    apart = F.col("x.component") != F.col("y.component")
+    shared = (
+        x.join(y, (F.col("x.code") == F.col("y.code")) & (F.col("x.id") < F.col("y.id")) & apart)
+        .groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+        .agg(
+            F.sum(F.least("x.weight", "y.weight")).alias("shared"),
+            F.first(F.least("x.common", "y.common")).alias("most"),
+            F.first(_shared_at(similarity, F.col("x.total"), F.col("y.total"))).alias("least"),
+        )
+        .where(F.col("most") + F.col("shared") >= F.col("least"))
+        .select("a", "b")
+    )
+    return shares, shared
+
+
 def _named(classes: DataFrame, found: DataFrame) -> DataFrame:
     """Of each class of equal texts, its component and the least doc_id of that."""
     firsts = classes.select("id", "text_key", "first").join(found, "id", "left")
