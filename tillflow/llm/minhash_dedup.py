@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm.batches import mix, shingles, slices, unit, weighted, word_hashes
 from tillflow.llm.graph import components
-from tillflow.llm.storage import every_column, text_key, written
+from tillflow.llm.storage import every_column, scratch, text_key, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -247,8 +247,13 @@ def near_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
 def _placed(docs: DataFrame, similarity: float) -> DataFrame:
     """doc_id, text_key, group and component_id, the least doc_id of the group, of rows with both.
 
-    Group and component_id are null where a text has no words.
+    Group and component_id are null where a text has no words. All else that is written is removed.
     """
+    with scratch(docs.sparkSession) as keep:
+        return keep(written(_grouped(docs, similarity), "text-groups"))
+
+
+def _grouped(docs: DataFrame, similarity: float) -> DataFrame:
     bits = most_different_bits(similarity)
     kind = docs.schema["doc_id"].dataType.simpleString()
     keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key"))
@@ -440,7 +445,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     and text one stays. A null text is an empty one; texts without words all stay. Further columns
     may have any names.
     """
-    placed = written(_placed(docs, SIMILARITY).where("group IS NOT NULL"), "text-groups")
+    placed = _placed(docs, SIMILARITY).where("group IS NOT NULL")
     first = placed.groupBy("group").agg(
         F.count("*").alias("members"), F.min(F.struct("doc_id", "text_key")).alias("stays")
     )
@@ -450,7 +455,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     )
     whole = F.struct(*every_column(docs)).alias("row")
-    listed = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).select(whole)
-    same = (F.col("row.doc_id") == F.col("_id")) & (text_key(F.col("row.text")) == F.col("_key"))
-    listed = listed.join(gone, same, "left_anti")
+    # Rows that repeat are dropped where those that go are: whole rows are shuffled once.
+    listed = (
+        docs.where("doc_id IS NOT NULL")
+        .select(F.col("doc_id").alias("_id"), text_key(F.col("text")).alias("_key"), whole)
+        .dropDuplicates(["_id", "_key"])
+        .join(gone, ["_id", "_key"], "left_anti")
+        .select("row")
+    )
     return listed.union(docs.where("doc_id IS NULL").select(whole)).select("row.*")
