@@ -1,0 +1,27 @@
+"""A rerun of a load reads a stored fact."""
+
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from tillflow import schemas as S
+from tillflow.sources import tables
+from tillflow.sources.workspace import file_system
+
+
+def test_a_rerun_loads_a_fact_that_is_worked_out_once(spark, monkeypatch):
+    loads, folders = [], set()
+    replace = tables.replace_fact_hour
+
+    def looked_at(fact, *args):
+        loads.append(fact._jdf.queryExecution().optimizedPlan().toString())
+        folders.update(file.rpartition("/")[0] for file in fact.inputFiles())
+        return replace(fact, *args)
+
+    monkeypatch.setattr(tables, "replace_fact_hour", looked_at)
+    found = entry.queries()["fact_load_rerun"](spark, "/root/testdata/sf0.001")
+    assert len(loads) == 2 and not any("Join" in plan or "Aggregate" in plan for plan in loads)
+    assert found.where(F.col(S.FACT_PARTITION) == "2030-01-01").isEmpty()
+    assert found.count() > 1000
+    (folder,) = folders
+    system, place = file_system(spark, folder)
+    assert not system.exists(place)

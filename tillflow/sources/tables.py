@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tillflow import fixed_values as V
 from tillflow import schemas as S
 from tillflow.operators.star import new_rows
-from tillflow.sources.workspace import file_system, fresh_folder, remove_folder
+from tillflow.sources.workspace import file_system, fresh_folder, remove_folder, shuffles_removed
 
 LOAD_HOUR = "load_hour"
 KEYLESS_TABLE = "rows_without_key"
@@ -84,12 +84,13 @@ def replace_fact_hour(
     grouped: the rows of a date lie in few tasks already; they are not shuffled again.
     """
     rows = (fact if grouped else _grouped_by_date(fact)).select(*S.FACT_COLUMNS, S.FACT_PARTITION)
-    fact.sparkSession.sql(
-        f"INSERT OVERWRITE TABLE {table}"
-        f" PARTITION ({LOAD_HOUR} = '{load_hour}', {S.FACT_PARTITION})"
-        " SELECT * FROM {rows}",
-        rows=rows,
-    )
+    with shuffles_removed(fact.sparkSession):
+        fact.sparkSession.sql(
+            f"INSERT OVERWRITE TABLE {table}"
+            f" PARTITION ({LOAD_HOUR} = '{load_hour}', {S.FACT_PARTITION})"
+            " SELECT * FROM {rows}",
+            rows=rows,
+        )
 
 
 def _key_bytes(rows: DataFrame, key: str) -> int:

@@ -2,8 +2,10 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
@@ -32,3 +34,28 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a job's own folder, if it is there."""
     system, place = file_system(spark, path)
     system.delete(place, True)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove what each write inside has shuffled as it ends; nothing reads it later."""
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup)
+    spark.conf.set(cleanup, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(cleanup, before)
+
+
+@contextmanager
+def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """The rows of df worked out once, in a folder that all executors share, for the time inside."""
+    spark = df.sparkSession
+    place = fresh_folder(spark, label)
+    try:
+        with shuffles_removed(spark):
+            df.write.parquet(place, compression="zstd")
+        yield spark.read.schema(df.schema).parquet(place)
+    finally:
+        remove_folder(spark, place)
